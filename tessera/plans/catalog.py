@@ -6,6 +6,7 @@ import importlib
 
 _FAMILIES = [
     "tessera.plans.vector_queries",
+    "tessera.plans.profile_queries",
 ]
 
 
