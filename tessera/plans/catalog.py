@@ -7,6 +7,7 @@ import importlib
 _FAMILIES = [
     "tessera.plans.vector_queries",
     "tessera.plans.profile_queries",
+    "tessera.plans.spending_queries",
 ]
 
 
