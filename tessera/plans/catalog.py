@@ -8,6 +8,7 @@ _FAMILIES = [
     "tessera.plans.vector_queries",
     "tessera.plans.profile_queries",
     "tessera.plans.spending_queries",
+    "tessera.plans.question_queries",
 ]
 
 
