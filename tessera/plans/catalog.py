@@ -9,6 +9,7 @@ _FAMILIES = [
     "tessera.plans.profile_queries",
     "tessera.plans.spending_queries",
     "tessera.plans.question_queries",
+    "tessera.plans.receipt_queries",
 ]
 
 
