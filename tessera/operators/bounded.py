@@ -6,7 +6,8 @@ that outgrows its bound raises instead of being silently truncated or broadcast
 
 ``dense_ids`` numbers rows 1..n in a key order without a single-partition window: a
 range shuffle, a per-partition position, and per-partition offsets computed over a table
-that has one row per partition.
+that has one row per partition. The ranged rows are checkpointed once so both passes
+see the same partitioning (and a lost executor does not renumber anything).
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
@@ -43,11 +46,16 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", of
     ``offset`` may be a number or a scalar Column (e.g. ``df.select(max(..)).scalar()``).
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Range bounds come from sampling, which may differ between two evaluations of an
+    # input whose row order is not fixed; a reliable checkpoint (shared folder) pins the
+    # partitioning once, so the partition counts and the positions agree.
     ranged = (
         df.repartitionByRange(parts, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
         .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     )

@@ -10,6 +10,7 @@ _FAMILIES = [
     "tessera.plans.spending_queries",
     "tessera.plans.question_queries",
     "tessera.plans.receipt_queries",
+    "tessera.plans.store_queries",
 ]
 
 
