@@ -11,6 +11,7 @@ _FAMILIES = [
     "tessera.plans.question_queries",
     "tessera.plans.receipt_queries",
     "tessera.plans.store_queries",
+    "tessera.plans.stream_queries",
 ]
 
 
