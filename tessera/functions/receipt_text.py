@@ -85,9 +85,14 @@ def _fix_pass(line: Column, pattern: str) -> Column:
     return F.array_join(F.zip_with(pieces, fixed, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
+# A line can change only if some number-like token holds one of the look-alike letters;
+# testing that first (one cached pattern) skips the split/extract work on almost every line.
+_OCR_SUSPECT = r"[OolIS][\dOolIS]*\.[\dOolIS]+|[\dOolIS]+\.[\dOolIS]*[OolIS]"
+
+
 def ocr_fix(line: Column) -> Column:
     """R2: digits repaired inside price-like tokens, then inside bounded decimals."""
-    return _fix_pass(_fix_pass(line, OCR_PRICE), OCR_DECIMAL)
+    return F.when(line.rlike(_u(_OCR_SUSPECT)), _fix_pass(_fix_pass(line, OCR_PRICE), OCR_DECIMAL)).otherwise(line)
 
 
 def clean_lines(text: Column, fix_ocr: bool = True) -> Column:
@@ -102,37 +107,43 @@ def _indexed(lines: Column) -> Column:
     return F.transform(lines, lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
 
 
+def _store_lines(lines: Column) -> Column:
+    """First 8 lines with their flags, each computed once per line."""
+    def flags(x, i):
+        low = F.lower(x)
+        return F.struct(i.alias("pos"), x.alias("line"), low.alias("low"),
+                        ((F.length(x) >= 3) & ~x.rlike(_u(r"^\d+$"))).alias("eligible"),
+                        _any(low, STORE_KEYWORDS).alias("kw"))
+    def business(s):
+        x = s["line"]
+        return F.struct(s["pos"].alias("pos"), x.alias("line"), s["low"].alias("low"), s["eligible"].alias("eligible"),
+                        s["kw"].alias("kw"),
+                        # lines are collapsed: one space between words, none at the ends
+                        (~s["kw"] & (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) >= 1)
+                         & ~x.rlike(_u(r"^[\d\s\-\.]+$"))
+                         & ~_any(s["low"], STORE_SKIP_WORDS)).alias("biz"))
+    return F.transform(F.transform(F.slice(lines, 1, 8), flags), business)
+
+
 def store_name(lines: Column) -> Column:
     """Last keyword line among the first 8, else the first business-like line before it."""
-    first8 = F.slice(lines, 1, 8)
-    def eligible(x):
-        return (F.length(x) >= 3) & ~x.rlike(_u(r"^\d+$"))
-    kw = F.filter(first8, lambda x: eligible(x) & _any(F.lower(x), STORE_KEYWORDS))
-    biz = F.filter(first8, lambda x: eligible(x) & ~_any(F.lower(x), STORE_KEYWORDS)
-                   & (F.size(F.split(strip(x), _u(r"\s+"))) >= 2) & ~x.rlike(_u(r"^[\d\s\-\.]+$"))
-                   & ~_any(F.lower(x), STORE_SKIP_WORDS))
-    return F.coalesce(F.try_element_at(kw, F.lit(-1)), F.try_element_at(biz, F.lit(1)), F.lit("Unknown Store"))
+    flagged = _store_lines(lines)
+    kw = F.filter(flagged, lambda s: s["eligible"] & s["kw"])
+    biz = F.filter(flagged, lambda s: s["eligible"] & s["biz"])
+    return F.coalesce(F.try_element_at(kw, F.lit(-1))["line"], F.try_element_at(biz, F.lit(1))["line"],
+                      F.lit("Unknown Store"))
 
 
 def store_address(lines: Column) -> Column:
     """After the first store line and before line 8 (index < 7), non-keyword lines with a
     digit then a word char, an address word, or five digits; joined by ``, ``."""
-    first8 = _indexed(F.slice(lines, 1, 8))
-    def eligible(s):
-        x = s["line"]
-        return (F.length(x) >= 3) & ~x.rlike(_u(r"^\d+$"))
-    def is_kw(s):
-        return _any(F.lower(s["line"]), STORE_KEYWORDS)
-    def is_biz(s):
-        x = s["line"]
-        return (~is_kw(s) & (F.size(F.split(strip(x), _u(r"\s+"))) >= 2) & ~x.rlike(_u(r"^[\d\s\-\.]+$"))
-                & ~_any(F.lower(x), STORE_SKIP_WORDS))
-    found = F.array_min(F.transform(F.filter(first8, lambda s: eligible(s) & (is_kw(s) | is_biz(s))),
+    flagged = _store_lines(lines)
+    found = F.array_min(F.transform(F.filter(flagged, lambda s: s["eligible"] & (s["kw"] | s["biz"])),
                                     lambda s: s["pos"]))
     def is_addr(s):
         x = s["line"]
-        return (x.rlike(_u(r"\d+.*\w+")) | _any(F.lower(x), ADDRESS_WORDS) | x.rlike(_u(r"\d{5}")))
-    picked = F.filter(first8, lambda s: eligible(s) & ~is_kw(s) & (s["pos"] > found) & (s["pos"] < 7)
+        return x.rlike(_u(r"\d+.*\w+")) | _any(s["low"], ADDRESS_WORDS) | x.rlike(_u(r"\d{5}"))
+    picked = F.filter(flagged, lambda s: s["eligible"] & ~s["kw"] & (s["pos"] > found) & (s["pos"] < 7)
                       & is_addr(s))
     joined = F.array_join(F.transform(picked, lambda s: s["line"]), ", ")
     return F.when(F.size(picked) > 0, joined)
@@ -173,7 +184,8 @@ def receipt_date(lines: Column, as_of: str) -> Column:
         matches = F.regexp_extract_all(text, F.lit(_u(p)), 1)
         def norm(m):
             return F.regexp_replace(strip(F.regexp_replace(m, _u(r"[^\d\-/.]"), " ")), _u(r"\s+"), "-")
-        parsed = F.filter(F.transform(matches, lambda m: _parse_formats(norm(m))), lambda d: d.isNotNull())
+        normed = F.transform(matches, norm)
+        parsed = F.filter(F.transform(normed, _parse_formats), lambda d: d.isNotNull())
         per_pattern.append(F.try_element_at(parsed, F.lit(1)))
     return F.coalesce(*per_pattern, F.lit(as_of).cast("timestamp_ntz"))
 
@@ -222,37 +234,51 @@ def _remove_prices(line: Column, prices: Column) -> Column:
     return F.aggregate(prices, line, drop)
 
 
-def _item(line: Column, pos: Column) -> Column:
-    """R10/R11 for one candidate line → struct, or NULL when the line yields no item."""
-    prices = F.regexp_extract_all(line, F.lit(_u(PRICE)), 1)
-    total = F.try_element_at(prices, F.lit(-1)).cast("double")
-    name0 = strip(F.regexp_replace(collapse(_remove_prices(line, prices)), _u(r"[^\w\s\-]"), " "))
-    qty_text = None
-    name = None
-    for p in QTY_PATTERNS:
-        g = F.regexp_extract(F.lower(name0), _u(p), 1)
-        removed = strip(F.regexp_replace(name0, "(?iU)" + p, ""))
-        qty_text = F.when(g != "", g) if qty_text is None else qty_text.when(g != "", g)
-        name = F.when(g != "", removed) if name is None else name.when(g != "", removed)
-    qty = F.coalesce(qty_text.cast("double"), F.lit(1.0))
-    name = name.otherwise(name0)
-    unit = F.when(qty > 0, total / qty).otherwise(total)
-    final_name = F.substring(name, 1, 255)
-    item = F.struct(
-        (pos + 1).alias("line_no"), final_name.alias("item_name"), qty.alias("quantity"),
-        unit.alias("unit_price"), total.alias("total_price"), item_category(name).alias("category"),
-    )
-    ok = (
-        (F.size(prices) >= 1) & (F.size(prices) <= 3) & (F.length(name0) >= 2)
-        & (qty > 0) & (F.length(final_name) >= 1)                       # record constraints
-        & (total <= MAX_ITEM_PRICE) & (F.length(strip(final_name)) >= 3)  # R12
-        & ~final_name.rlike(_u(r"^[\d\s\-\.\$]+$"))
-    )
-    return F.when(ok, item)
-
-
 def items(lines: Column) -> Column:
-    """Accepted items in line order."""
-    idx = _indexed(lines)
-    cands = F.filter(idx, lambda s: (F.length(s["line"]) >= 3) & ~is_ignored(s["line"]))
-    return F.filter(F.transform(cands, lambda s: _item(s["line"], s["pos"])), lambda x: x.isNotNull())
+    """Accepted items in line order.
+
+    Staged ``transform``s: every intermediate (prices, cleaned name, quantity match) is a
+    struct field computed once per line, since lambdas get no common-subexpression reuse.
+    """
+    def prices_of(x, i):
+        return F.struct(i.alias("pos"), x.alias("line"),
+                        F.regexp_extract_all(x, F.lit(_u(PRICE)), 1).alias("prices"))
+    cands = F.filter(F.transform(lines, prices_of),
+                     lambda s: (F.length(s["line"]) >= 3) & (F.size(s["prices"]) >= 1) & (F.size(s["prices"]) <= 3)
+                     & ~is_ignored(s["line"]))
+
+    def named(s):
+        name0 = strip(F.regexp_replace(collapse(_remove_prices(s["line"], s["prices"])), _u(r"[^\w\s\-]"), " "))
+        return F.struct(s["pos"].alias("pos"), s["prices"].alias("prices"), name0.alias("name0"))
+    stage = F.filter(F.transform(cands, named), lambda s: F.length(s["name0"]) >= 2)
+
+    def qty_groups(s):
+        low = F.lower(s["name0"])
+        return F.struct(s["pos"].alias("pos"), s["prices"].alias("prices"), s["name0"].alias("name0"),
+                        *[F.regexp_extract(low, _u(p), 1).alias(f"g{i}") for i, p in enumerate(QTY_PATTERNS)])
+    stage = F.transform(stage, qty_groups)
+
+    def resolved(s):
+        qty_text, name = None, None
+        for i, p in enumerate(QTY_PATTERNS):
+            hit = s[f"g{i}"] != ""
+            removed = strip(F.regexp_replace(s["name0"], "(?iU)" + p, ""))
+            qty_text = F.when(hit, s[f"g{i}"]) if qty_text is None else qty_text.when(hit, s[f"g{i}"])
+            name = F.when(hit, removed) if name is None else name.when(hit, removed)
+        return F.struct(s["pos"].alias("pos"),
+                        F.try_element_at(s["prices"], F.lit(-1)).cast("double").alias("total"),
+                        F.coalesce(qty_text.cast("double"), F.lit(1.0)).alias("qty"),
+                        name.otherwise(s["name0"]).alias("name"))
+    stage = F.transform(stage, resolved)
+
+    def finished(s):
+        final_name = F.substring(s["name"], 1, 255)
+        return F.struct(
+            (s["pos"] + 1).alias("line_no"), final_name.alias("item_name"), s["qty"].alias("quantity"),
+            F.when(s["qty"] > 0, s["total"] / s["qty"]).otherwise(s["total"]).alias("unit_price"),
+            s["total"].alias("total_price"), item_category(s["name"]).alias("category"))
+    done = F.transform(F.filter(stage, lambda s: s["qty"] > 0), finished)
+    return F.filter(done, lambda it: (F.length(it["item_name"]) >= 1)                 # record constraint
+                    & (it["total_price"] <= MAX_ITEM_PRICE)                            # R12
+                    & (F.length(strip(it["item_name"])) >= 3)
+                    & ~it["item_name"].rlike(_u(r"^[\d\s\-\.\$]+$")))

@@ -72,3 +72,14 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", of
     else:
         out = out.withColumn(id_col, F.lit(offset) + base)
     return out.drop("_mid", "_pid", "_pos", "_start")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over every core when it arrives in fewer partitions than cores.
+
+    For CPU-bound per-row rules (text, regex) after a scan of a few large splits. On a
+    cluster reading many files the input already has more partitions than cores and this
+    is a no-op, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

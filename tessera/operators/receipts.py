@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import receipt_text as RT
+from tessera.operators.bounded import spread
 from tessera.operators.clean import strip_ws
 
 
@@ -27,6 +28,7 @@ def best_candidate(candidates: DataFrame, group_col: str, text_col: str = "text"
 
 def parse(texts: DataFrame, as_of: str, id_col: str = "doc_id", text_col: str = "raw_text") -> DataFrame:
     """One receipt record per text: store, address, date, total, tax, discount, items."""
+    texts = spread(texts)  # text rules are CPU-bound per row
     lined = texts.select(id_col, text_col, RT.clean_lines(F.col(text_col)).alias("_lines"))
     lines = F.col("_lines")
     return lined.select(

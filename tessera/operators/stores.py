@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.bounded import dense_ids
+from tessera.operators.bounded import dense_ids, spread
 from tessera.operators.clean import strip_ws
+from tessera.session import ensure_checkpoint_dir
 
 # --- fixed values: suffixes and store categories, in the reference's order ------------
 STORE_SUFFIXES = ["sdn bhd", "sdn.bhd", "ltd", "limited", "inc", "incorporated", "corp", "corporation",
@@ -84,7 +85,7 @@ def contains_match(stores: DataFrame, names: DataFrame, store_id="id", store_nam
 
 def match_existing(receipts: DataFrame, stores: DataFrame) -> DataFrame:
     """Each receipt's store id = lowest id whose name contains its normalized name, or NULL."""
-    r = receipts.withColumn("norm", normalize_name("store_name"))
+    r = spread(receipts).withColumn("norm", normalize_name("store_name"))
     hits = contains_match(stores, r).groupBy("norm").agg(F.min("id").alias("store_id"))
     return r.join(hits, "norm", "left")
 
@@ -98,7 +99,9 @@ def create_missing(receipts: DataFrame, stores: DataFrame) -> tuple[DataFrame, D
     ``max(id)`` in order of that first receipt; a receipt then takes the lowest new store
     whose name contains its normalized name.
     """
-    matched = match_existing(receipts, stores)
+    # used three times below: written once to the shared checkpoint folder (cuts lineage too)
+    ensure_checkpoint_dir(receipts.sparkSession)
+    matched = match_existing(receipts, stores).checkpoint(eager=True)
     rest = matched.where(F.col("store_id").isNull() & (F.col("norm") != ""))
     firsts = rest.groupBy("norm").agg(F.min_by(F.struct("receipt_id", "store_name", "store_address"),
                                                F.col("receipt_id")).alias("f")).select("norm", "f.*")
