@@ -25,7 +25,7 @@ HEADLINE = [
     "v03_batch_search", "v07_category_counts", "v11_category_matrix", "v12_search_summary",
     # receipt text → records, stores, spending, questions
     "r14_parse", "d03_receipt_store", "a05_totals", "a06_top_stores", "a11_daily_spending",
-    "a19_receipts_page", "n04_intent",
+    "a19_receipts_page", "n04_intent", "n06_question_answers",
     # incremental
     "t01_running_counts",
 ]
