@@ -107,8 +107,8 @@ def _indexed(lines: Column) -> Column:
     return F.transform(lines, lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
 
 
-def _store_lines(lines: Column) -> Column:
-    """First 8 lines with their flags, each computed once per line."""
+def store_flags(lines: Column) -> Column:
+    """First 8 lines with their flags, each computed once per line (R4/R5 share it)."""
     def flags(x, i):
         low = F.lower(x)
         return F.struct(i.alias("pos"), x.alias("line"), low.alias("low"),
@@ -127,7 +127,10 @@ def _store_lines(lines: Column) -> Column:
 
 def store_name(lines: Column) -> Column:
     """Last keyword line among the first 8, else the first business-like line before it."""
-    flagged = _store_lines(lines)
+    return store_name_of(store_flags(lines))
+
+
+def store_name_of(flagged: Column) -> Column:
     kw = F.filter(flagged, lambda s: s["eligible"] & s["kw"])
     biz = F.filter(flagged, lambda s: s["eligible"] & s["biz"])
     return F.coalesce(F.try_element_at(kw, F.lit(-1))["line"], F.try_element_at(biz, F.lit(1))["line"],
@@ -137,7 +140,10 @@ def store_name(lines: Column) -> Column:
 def store_address(lines: Column) -> Column:
     """After the first store line and before line 8 (index < 7), non-keyword lines with a
     digit then a word char, an address word, or five digits; joined by ``, ``."""
-    flagged = _store_lines(lines)
+    return store_address_of(store_flags(lines))
+
+
+def store_address_of(flagged: Column) -> Column:
     found = F.array_min(F.transform(F.filter(flagged, lambda s: s["eligible"] & (s["kw"] | s["biz"])),
                                     lambda s: s["pos"]))
     def is_addr(s):

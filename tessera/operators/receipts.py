@@ -29,12 +29,15 @@ def best_candidate(candidates: DataFrame, group_col: str, text_col: str = "text"
 def parse(texts: DataFrame, as_of: str, id_col: str = "doc_id", text_col: str = "raw_text") -> DataFrame:
     """One receipt record per text: store, address, date, total, tax, discount, items."""
     texts = spread(texts)  # text rules are CPU-bound per row
+    # staged projections: each shared intermediate is one column, computed once per row
+    # (the optimizer keeps a projection apart rather than inline an expensive expression twice)
     lined = texts.select(id_col, text_col, RT.clean_lines(F.col(text_col)).alias("_lines"))
+    lined = lined.withColumn("_store", RT.store_flags(F.col("_lines")))
     lines = F.col("_lines")
     return lined.select(
         F.col(id_col).alias("receipt_id"),
-        RT.store_name(lines).alias("store_name"),
-        RT.store_address(lines).alias("store_address"),
+        RT.store_name_of(F.col("_store")).alias("store_name"),
+        RT.store_address_of(F.col("_store")).alias("store_address"),
         RT.receipt_date(lines, as_of).alias("receipt_date"),
         RT.total_amount(lines).alias("total_amount"),
         RT.tax_amount(lines).alias("tax_amount"),
