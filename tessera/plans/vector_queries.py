@@ -169,7 +169,7 @@ _LABEL_Q = "SELECT label AS query_id, arg_min(embedding, vec_id) AS qv FROM embe
 _TRUNC = ("SELECT vec_id AS id, CASE WHEN vec_id % 7 = 3 THEN embedding[1:len(embedding) // 2] "
           "ELSE embedding END AS embedding FROM embeddings")
 _TOPK = f"""
-SELECT query_id, rank, id, round(similarity, 6) AS similarity FROM (
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id, round(similarity, 6) AS similarity FROM (
   SELECT query_id, vec_id AS id, sim AS similarity,
          row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rank
   FROM (SELECT query_id, vec_id, {_duck_cos('embedding', 'qv')} AS sim
