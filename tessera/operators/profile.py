@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.patterns import INDUSTRY_SEGMENTS, PERSONAL_EMAIL_DOMAINS, SEASONS
-from tessera.operators.bounded import dense_ids
+from tessera.operators.bounded import checked_small, dense_ids
 
 
 def _total(df: DataFrame) -> Column:
@@ -226,7 +226,7 @@ def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame
     numbered = dense_ids(long.withColumn("_u", F.monotonically_increasing_id()),
                          ["column_name", "value", "_u"], "_gpos")
     starts = numbered.groupBy("column_name").agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    pos = numbered.join(F.broadcast(starts), "column_name").withColumn("_pos", F.col("_gpos") - F.col("_start"))
+    pos = numbered.join(F.broadcast(checked_small(starts, 10_000, "column list")), "column_name").withColumn("_pos", F.col("_gpos") - F.col("_start"))
     marks = {}
     for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         h = (F.col("_n") - 1) * p

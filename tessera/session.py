@@ -43,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is. A local test session without one gets a fresh folder under the system temp dir.
     """
     global _LOCAL_FALLBACK
-    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
