@@ -81,5 +81,35 @@ def spread(df: DataFrame) -> DataFrame:
     cluster reading many files the input already has more partitions than cores and this
     is a no-op, so no shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
+
+
+def prefix_sums(df: DataFrame, order_cols: list[str], weight_col: str, out_col: str = "before",
+                num_partitions: int | None = None) -> DataFrame:
+    """``out_col`` = sum of ``weight_col`` over all rows strictly earlier in ``order_cols`` order.
+
+    Same layout as ``dense_ids``: a checkpointed range partitioning, per-partition totals
+    (one row per partition) turned into offsets, and a running sum inside each partition.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        df.repartitionByRange(parts, *order_cols)
+        .sortWithinPartitions(*order_cols)
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
+        .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+    )
+    per_part = ranged.groupBy("_pid").agg(F.sum(weight_col).alias("_w"))
+    w_parts = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_part.select("_pid", F.coalesce(F.sum("_w").over(w_parts), F.lit(0)).alias("_start"))
+    w_local = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum(weight_col).over(w_local), F.lit(0)))
+    out = local.join(F.broadcast(checked_small(starts, 1_000_000, "partition table")), "_pid")
+    return out.withColumn(out_col, F.col("_start") + F.col("_local")).drop("_mid", "_pid", "_start", "_local")

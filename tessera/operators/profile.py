@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.patterns import INDUSTRY_SEGMENTS, PERSONAL_EMAIL_DOMAINS, SEASONS
-from tessera.operators.bounded import checked_small, dense_ids
+from tessera.operators.bounded import checked_small, prefix_sums
 
 
 def _total(df: DataFrame) -> Column:
@@ -222,23 +222,27 @@ def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame
         quart = q.select("column_name", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
                          F.col("q")[2].alias("p75"))
         return stats.join(quart, "column_name")
-    # position of every value inside its column: global dense position minus column start
-    numbered = dense_ids(long.withColumn("_u", F.monotonically_increasing_id()),
-                         ["column_name", "value", "_u"], "_gpos")
-    starts = numbered.groupBy("column_name").agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    pos = numbered.join(F.broadcast(checked_small(starts, 10_000, "column list")), "column_name").withColumn("_pos", F.col("_gpos") - F.col("_start"))
-    marks = {}
+    # exact quartiles from positions: count each distinct value (pre-aggregated map-side),
+    # prefix sums of the counts in (column, value) order, then pick the values covering
+    # positions floor/ceil((n - 1) p) and interpolate linearly
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_cnt"))
+    cum = prefix_sums(counts, ["column_name", "value"], "_cnt", "_gbefore")
+    col = cum.groupBy("column_name").agg(F.min("_gbefore").alias("_cstart"), F.sum("_cnt").alias("_n"))
+    pos = cum.join(F.broadcast(checked_small(col, 10_000, "column list")), "column_name").withColumn(
+        "_b", F.col("_gbefore") - F.col("_cstart"))
+    covers = {}
+    hit = None
     for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         h = (F.col("_n") - 1) * p
-        marks[name] = (F.floor(h), F.ceil(h), h - F.floor(h))
-    hit = None
-    for lo, hi, _ in marks.values():
-        cond = (F.col("_pos") == lo) | (F.col("_pos") == hi)
-        hit = cond if hit is None else hit | cond
+        lo, hi = F.floor(h), F.ceil(h)
+        in_lo = (F.col("_b") <= lo) & (lo < F.col("_b") + F.col("_cnt"))
+        in_hi = (F.col("_b") <= hi) & (hi < F.col("_b") + F.col("_cnt"))
+        covers[name] = (in_lo, in_hi, h - lo)
+        hit = (in_lo | in_hi) if hit is None else (hit | in_lo | in_hi)
     aggs = []
-    for name, (lo, hi, frac) in marks.items():
-        lo_v = F.max(F.when(F.col("_pos") == lo, F.col("value")))
-        hi_v = F.max(F.when(F.col("_pos") == hi, F.col("value")))
+    for name, (in_lo, in_hi, frac) in covers.items():
+        lo_v = F.max(F.when(in_lo, F.col("value")))
+        hi_v = F.max(F.when(in_hi, F.col("value")))
         aggs.append((lo_v + (hi_v - lo_v) * F.first(frac)).alias(name))
     quart = pos.where(hit).groupBy("column_name").agg(*aggs)
     return stats.join(quart, "column_name")

@@ -43,8 +43,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is. A local test session without one gets a fresh folder under the system temp dir.
     """
     global _LOCAL_FALLBACK
-    configured = (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-                  or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    configured = (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+                  or sc.getConf().get("spark.checkpoint.dir", None))
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
@@ -58,4 +62,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return f"{base}/tessera/{purpose}/{uuid.uuid4().hex}"
