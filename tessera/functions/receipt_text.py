@@ -144,15 +144,21 @@ def store_address(lines: Column) -> Column:
 
 
 def store_address_of(flagged: Column) -> Column:
-    found = F.array_min(F.transform(F.filter(flagged, lambda s: s["eligible"] & (s["kw"] | s["biz"])),
-                                    lambda s: s["pos"]))
+    """One ordered pass (``aggregate``) over the flagged lines: the first keyword or
+    business line opens the address section; later eligible non-keyword lines with an
+    address shape before index 7 are collected."""
     def is_addr(s):
         x = s["line"]
         return x.rlike(_u(r"\d+.*\w+")) | _any(s["low"], ADDRESS_WORDS) | x.rlike(_u(r"\d{5}"))
-    picked = F.filter(flagged, lambda s: s["eligible"] & ~s["kw"] & (s["pos"] > found) & (s["pos"] < 7)
-                      & is_addr(s))
-    joined = F.array_join(F.transform(picked, lambda s: s["line"]), ", ")
-    return F.when(F.size(picked) > 0, joined)
+
+    start = F.struct(F.lit(False).alias("found"), F.array().cast("array<string>").alias("acc"))
+
+    def step(st, s):
+        take = st["found"] & s["eligible"] & ~s["kw"] & (s["pos"] < 7) & is_addr(s)
+        return F.struct((st["found"] | (s["eligible"] & (s["kw"] | s["biz"]))).alias("found"),
+                        F.when(take, F.array_append(st["acc"], s["line"])).otherwise(st["acc"]).alias("acc"))
+    picked = F.aggregate(flagged, start, step)["acc"]
+    return F.when(F.size(picked) > 0, F.array_join(picked, ", "))
 
 
 def _format_regex(fmt: str) -> tuple[str, list[str]]:
