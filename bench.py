@@ -1,8 +1,8 @@
 """Benchmark: headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``.
 
 Each query is forced end to end with the ``noop`` sink (full computation, nothing
-collected). An untimed warm-up pass runs every query once on the smallest data set first
-(JIT and code generation), then each query is timed once at ``$BENCH_SF_DIR``. Prints one
+collected). An untimed warm-up pass runs every query once on a smaller data set first
+(sf0.01: JIT and code generation), then each query is timed once at ``$BENCH_SF_DIR``. Prints one
 JSON line.
 """
 
@@ -45,7 +45,7 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16))
     queries = catalog.queries()
     # warm-up on the smallest data: JVM JIT and whole-stage codegen for every timed query
-    warm_dir = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.001"))
+    warm_dir = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.01"))
     for name in names:
         _force(queries[name](spark, warm_dir if os.path.isdir(warm_dir) else sf_dir))
     times = {}
