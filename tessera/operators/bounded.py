@@ -83,7 +83,9 @@ def spread(df: DataFrame) -> DataFrame:
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df  # already shuffled: partitions follow spark.sql.shuffle.partitions
+        parts = df.rdd.getNumPartitions()  # scan-only plan: no job runs for this
     except Exception:  # a session without RDD access (e.g. Spark Connect): leave as is
         return df
     return df.repartition(cores) if parts < cores else df

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.bounded import dense_ids, spread
+from tessera.operators.bounded import dense_ids
 from tessera.operators.clean import strip_ws
 from tessera.session import ensure_checkpoint_dir
 
@@ -84,10 +84,16 @@ def contains_match(stores: DataFrame, names: DataFrame, store_id="id", store_nam
 
 
 def match_existing(receipts: DataFrame, stores: DataFrame) -> DataFrame:
-    """Each receipt's store id = lowest id whose name contains its normalized name, or NULL."""
-    r = spread(receipts).withColumn("norm", normalize_name("store_name"))
-    hits = contains_match(stores, r).groupBy("norm").agg(F.min("id").alias("store_id"))
-    return r.join(hits, "norm", "left")
+    """Each receipt's store id = lowest id whose name contains its normalized name, or NULL.
+
+    Normalization and matching run once per distinct store name (a dimension), and the
+    name → (norm, store id) map is joined back to the receipts (null-safe on the name).
+    """
+    names = receipts.select("store_name").distinct().withColumn("norm", normalize_name("store_name"))
+    hits = contains_match(stores, names).groupBy("norm").agg(F.min("id").alias("store_id"))
+    name_map = names.join(hits, "norm", "left").withColumnRenamed("store_name", "_name")
+    joined = receipts.join(name_map, receipts["store_name"].eqNullSafe(name_map["_name"]), "left")
+    return joined.drop("_name")
 
 
 def create_missing(receipts: DataFrame, stores: DataFrame) -> tuple[DataFrame, DataFrame]:
