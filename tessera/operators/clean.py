@@ -49,12 +49,12 @@ def first_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
 
 def clean(df: DataFrame) -> DataFrame:
     """Trimmed text, lower-case email, parsed subscription date, trimmed phones."""
-    out = df
-    for c in TEXT_COLUMNS + PHONE_COLUMNS:
-        out = out.withColumn(c, strip_ws(c))
-    return out.withColumn("email", F.lower("email")).withColumn(
-        "subscription_date", parse_date("subscription_date")
-    )
+    out = df.withColumns({c: strip_ws(c) for c in TEXT_COLUMNS + PHONE_COLUMNS if c in df.columns})
+    if "email" in out.columns:
+        out = out.withColumn("email", F.lower("email"))
+    if "subscription_date" in out.columns:
+        out = out.withColumn("subscription_date", parse_date("subscription_date"))
+    return out
 
 
 def validation_error(id_col="customer_id", email_col="email") -> Column:

@@ -48,7 +48,9 @@ def s04_schema_report(spark, d):
 
 
 def s10_json_report(spark, d):
-    return S.to_json_report(Q.quality_summary(_cust(spark, d)))
+    """Quality summary written as JSON to the shared folder and read back as text."""
+    path = S.write_json_report(Q.quality_summary(_cust(spark, d)), shared_dir(spark, "json_report"))
+    return spark.read.text(path).select(F.col("value").alias("report"))
 
 
 # --- cleaning and validation -----------------------------------------------------------

@@ -59,3 +59,9 @@ def schema_report(df: DataFrame) -> DataFrame:
 def to_json_report(df: DataFrame, name: str = "report") -> DataFrame:
     """Each row of a summary as one nested JSON document."""
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(name))
+
+
+def write_json_report(df: DataFrame, path: str) -> str:
+    """S10 sink: one JSON document per row (nested structs stay nested)."""
+    df.write.mode("overwrite").json(path)
+    return path

@@ -83,3 +83,18 @@ def test_stream_equals_batch(spark):
     events = spark.read.parquet(f"{MEDIUM}/events.parquet")
     batch = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value_sum"))
     assert T.differs(streamed, batch).count() == 0
+
+
+def test_all_null_column_and_empty_table(spark):
+    from tessera.operators import quality as Q
+    rows = [(1, None, "a@b.com", None, "2020-01-01", "+1 555"), (2, None, None, None, "bad", None)]
+    df = spark.createDataFrame(rows, "idx long, customer_id string, email string, phone_1 string, "
+                                     "subscription_date string, website string")
+    nulls = {r["column_name"]: r["null_count"] for r in Q.null_counts(df).collect()}
+    assert nulls["customer_id"] == 2 and nulls["idx"] == 0
+    q = Q.quality_summary(df).collect()[0]
+    assert (q["total_rows"], q["unique_customers"], q["duplicate_count"], q["invalid_dates"]) == (2, 0, 1, 1)
+    assert q["valid_rows"] == 0   # a null id is invalid
+    empty = spark.createDataFrame([], df.schema)
+    e = Q.quality_summary(empty).collect()[0]
+    assert (e["total_rows"], e["completeness_score"], e["validity_score"], e["consistency_score"]) == (0, 0.0, 0.0, 0.0)
