@@ -170,20 +170,24 @@ def _format_regex(fmt: str) -> tuple[str, list[str]]:
 
 
 def _parse_formats(s: Column) -> Column:
-    """First of the 15 formats that parses ``s`` (two-digit years pivot at 69, as strptime)."""
+    """First of the 15 formats that parses ``s`` (two-digit years pivot at 69, as strptime).
+
+    Per format: the anchored shape test, a group reorder to year-month-day, one lenient
+    parse (which also rejects impossible days), and the strptime year range."""
     out = None
     for fmt in DATE_FORMATS:
         rx, roles = _format_regex(fmt)
-        g = {r: F.regexp_extract(s, rx, i + 1) for i, r in enumerate(roles)}
-        if "%Y" in g:
-            year = g["%Y"].try_cast("int")
+        group = {r: i + 1 for i, r in enumerate(roles)}
+        if "%Y" in group:
+            ymd = F.regexp_replace(s, rx, f"${group['%Y']}-${group['%m']}-${group['%d']}")
+            ts = F.try_to_timestamp(ymd, F.lit("yyyy-M-d"))
+            ok = s.rlike(rx) & (F.regexp_extract(s, rx, group["%Y"]) != "0000")
         else:
-            yy = g["%y"].try_cast("int")
-            year = F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
-        text = F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), F.lpad(g["%m"], 2, "0"), F.lit("-"),
-                        F.lpad(g["%d"], 2, "0"))
-        val = F.when(s.rlike(rx) & (year >= 1),
-                     F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("timestamp_ntz"))
+            ymd = F.regexp_replace(s, rx, f"${group['%y']}-${group['%m']}-${group['%d']}")
+            parsed = F.try_to_timestamp(ymd, F.lit("yy-M-d"))  # years 2000-2099
+            ts = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200).cast("timestamp")).otherwise(parsed)
+            ok = s.rlike(rx)
+        val = F.when(ok, ts.cast("timestamp_ntz"))
         out = val if out is None else F.coalesce(out, val)
     return out
 

@@ -145,7 +145,7 @@ def first_per_category(vectors: DataFrame, id_col="id", vec_col="embedding", met
 
 
 def category_similarity_matrix(vectors: DataFrame, id_col="id", vec_col="embedding",
-                               metadata_col="metadata", max_categories: int = 10_000,
+                               metadata_col="metadata", max_categories: int = 1_000,
                                wide: bool = False) -> DataFrame:
     """Cosine between the representatives of every pair of categories (diagonal included).
 
