@@ -14,9 +14,9 @@ grouped top-k steps only:
    threshold j matches exactly the buckets b >= j. Buckets come from running counts over a
    range-partitioned, checkpointed order (no window over a whole family).
 4. Per bucket the newest 100 receipts (a grouped top-k, limited map-side before the
-   shuffle); suffix unions over buckets by binary lifting: level k holds the newest 100 of
-   buckets [b, b + 2^k), built from level k−1 by one equi-join; a threshold's suffix
-   [j, m] is the union of at most log2(m)+1 such blocks.
+   shuffle); suffix unions over buckets by lifting with fan-in 4: level k holds the newest
+   100 of buckets [b, b + 4^k), built from four shifted copies of level k−1; a
+   threshold's suffix [j, m] is the union of at most 3·(log4(m)+1) such blocks.
 5. Per question: union over its store groups, newest 100, ``since`` filter, aggregates.
 
 Every intermediate has at most 100 rows per (family, bucket, level) or per question.
@@ -36,7 +36,8 @@ from tessera.session import ensure_checkpoint_dir
 
 FETCH_LIMIT = 100
 ALL_STORES = "*"
-MAX_BROADCAST_FAMILIES = 100_000  # (store group, comparison) pairs named by question filters
+MAX_BROADCAST_FAMILIES = 100_000
+FAN = 4  # buckets merged per lifting level  # (store group, comparison) pairs named by question filters
 
 
 def _newest(df: DataFrame, keys: list[str], n: int = FETCH_LIMIT) -> DataFrame:
@@ -147,29 +148,39 @@ def answer(receipts: DataFrame, questions: DataFrame, as_of: str) -> DataFrame:
         "x", F.when(F.col("fam") == "lt", -F.col("total_amount")).otherwise(F.col("total_amount")))
     bucketed = _buckets(members, numbered.select("grp", "fam", "x"))
 
-    # 4. newest 100 per bucket, then binary-lifting levels over bucket suffixes
+    # 4. newest 100 per bucket, then lifting levels over bucket suffixes with fan-in 4:
+    #    level k holds, per start b, the newest 100 of buckets [b, b + 4^k)
     level = _newest(bucketed.where(F.col("bucket") >= 1), ["grp", "fam", "bucket"]).select(
         "grp", "fam", F.col("bucket").alias("start"), F.lit(0).alias("level"),
         "receipt_id", "receipt_date", "store_name", "total_amount").checkpoint(eager=True)
     max_m = numbered.agg(F.max("m")).collect()[0][0] or 0
-    top_level = int(math.floor(math.log2(max_m))) if max_m > 0 else 0
+    top_level = 0
+    while FAN ** (top_level + 1) <= max_m:
+        top_level += 1
     levels = [level]
     for k in range(1, top_level + 1):
-        half = 1 << (k - 1)
+        step = FAN ** (k - 1)
         prev = levels[-1]
-        shifted = prev.withColumn("start", F.col("start") - half).where(F.col("start") >= 1)
-        level = _newest(prev.unionByName(shifted), ["grp", "fam", "start"]).withColumn(
-            "level", F.lit(k)).checkpoint(eager=True)
+        parts = prev
+        for t in range(1, FAN):
+            parts = parts.unionByName(prev.withColumn("start", F.col("start") - t * step).where(F.col("start") >= 1))
+        level = _newest(parts, ["grp", "fam", "start"]).withColumn("level", F.lit(k)).checkpoint(eager=True)
         levels.append(level)
     blocks = levels[0]
     for lv in levels[1:]:
         blocks = blocks.unionByName(lv)
 
-    # 5. suffix [j, m] = the blocks at the set bits of L = m - j + 1
+    # 5. suffix [j, m]: with L = m - j + 1 written in base 4, digit d_k contributes d_k
+    #    blocks of level k, starting after the blocks of all higher digits
     pieces = (numbered.withColumn("L", F.col("m") - F.col("j") + 1)
               .select("grp", "fam", "x", "L", "j", F.explode(F.sequence(F.lit(0), F.lit(top_level))).alias("level"))
-              .where(F.expr("(shiftright(L, level) & 1) = 1"))
-              .withColumn("start", F.expr("j + shiftleft(shiftright(L, level + 1), level + 1)")))
+              .withColumn("_unit", F.pow(F.lit(FAN), F.col("level")).cast("long"))
+              .withColumn("_digit", (F.col("L") / F.col("_unit")).cast("long") % FAN)
+              .withColumn("_high", (F.col("L") / (F.col("_unit") * FAN)).cast("long") * F.col("_unit") * FAN)
+              .select("grp", "fam", "x", "level", F.explode(F.sequence(F.lit(0), F.lit(FAN - 2))).alias("_t"),
+                      "_digit", "_unit", "_high", "j")
+              .where(F.col("_t") < F.col("_digit"))
+              .withColumn("start", F.col("j") + F.col("_high") + F.col("_t") * F.col("_unit")))
     per_threshold = _newest(pieces.join(blocks, ["grp", "fam", "level", "start"]), ["grp", "fam", "x"]).select(
         "grp", "fam", "x", "receipt_id", "receipt_date", "store_name", "total_amount")
 
