@@ -15,9 +15,13 @@ def _c(x) -> Column:
 
 
 def dot(a, b) -> Column:
+    """Sum of element products over the positions of ``a`` (callers ensure equal lengths);
+    indexed access avoids building an intermediate array per pair."""
     a, b = _c(a), _c(b)
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    idx = F.sequence(F.lit(0), F.size(a) - 1)
+    return F.when(F.size(a) == 0, F.lit(0.0)).otherwise(F.aggregate(
+        idx, F.lit(0.0).cast("double"),
+        lambda acc, i: acc + F.get(a, i).cast("double") * F.get(b, i).cast("double")))
 
 
 def norm(a) -> Column:
