@@ -33,14 +33,20 @@ GRAM = 3
 
 
 def normalize_name(name) -> Column:
-    """Lower, strip, drop the first suffix (list order) the name ends with, collapse spaces."""
+    """Lower, strip, drop the first suffix (list order) the name ends with, collapse spaces.
+
+    The stripped name is bound once (a one-element ``transform``) so the eleven suffix tests
+    do not each re-run the strip regex."""
     name = F.col(name) if isinstance(name, str) else name
-    s = strip_ws(F.lower(name))
-    expr = None
-    for suf in STORE_SUFFIXES:
-        cut = strip_ws(F.substring(s, F.lit(1), F.length(s) - len(suf)))
-        expr = F.when(s.endswith(suf), cut) if expr is None else expr.when(s.endswith(suf), cut)
-    out = expr.otherwise(s)
+
+    def cut(x: Column) -> Column:
+        expr = None
+        for suf in STORE_SUFFIXES:
+            rest = strip_ws(F.substring(x, F.lit(1), F.length(x) - len(suf)))
+            expr = F.when(x.endswith(suf), rest) if expr is None else expr.when(x.endswith(suf), rest)
+        return expr.otherwise(x)
+
+    out = F.element_at(F.transform(F.array(strip_ws(F.lower(name))), cut), 1)
     return F.coalesce(strip_ws(F.regexp_replace(out, r"(?U)\s+", " ")), F.lit(""))
 
 
