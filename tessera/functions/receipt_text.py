@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.numbers import to_double
+
 # --- fixed values: keyword lists and patterns, in the reference's order ---------------
 PRICE = r"(\d+\.\d{2})"
 DATE_PATTERNS = [
@@ -207,7 +209,7 @@ def receipt_date(lines: Column, as_of: str) -> Column:
 
 
 def _last_price(line: Column) -> Column:
-    return F.try_element_at(F.regexp_extract_all(line, F.lit(_u(PRICE)), 1), F.lit(-1)).cast("double")
+    return to_double(F.try_element_at(F.regexp_extract_all(line, F.lit(_u(PRICE)), 1), F.lit(-1)))
 
 
 def total_amount(lines: Column) -> Column:
@@ -282,8 +284,8 @@ def items(lines: Column) -> Column:
             qty_text = F.when(hit, s[f"g{i}"]) if qty_text is None else qty_text.when(hit, s[f"g{i}"])
             name = F.when(hit, removed) if name is None else name.when(hit, removed)
         return F.struct(s["pos"].alias("pos"),
-                        F.try_element_at(s["prices"], F.lit(-1)).cast("double").alias("total"),
-                        F.coalesce(qty_text.cast("double"), F.lit(1.0)).alias("qty"),
+                        to_double(F.try_element_at(s["prices"], F.lit(-1))).alias("total"),
+                        F.coalesce(to_double(qty_text), F.lit(1.0)).alias("qty"),
                         name.otherwise(s["name0"]).alias("name"))
     stage = F.transform(stage, resolved)
 

@@ -63,7 +63,7 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", of
     # One row per partition: a global running sum over it is tiny.
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_part.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_start"))
-    out = ranged.join(F.broadcast(checked_small(starts, 1_000_000, "partition table")), "_pid")
+    out = ranged.join(starts, "_pid")
     base = F.col("_start") + F.col("_pos") + 1
     if offset is None:
         out = out.withColumn(id_col, base)
@@ -74,23 +74,6 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", of
     return out.drop("_mid", "_pid", "_pos", "_start")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over every core when it arrives in fewer partitions than cores.
-
-    For CPU-bound per-row rules (text, regex) after a scan of a few large splits. On a
-    cluster reading many files the input already has more partitions than cores and this
-    is a no-op, so no shuffle is added at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df  # already shuffled: partitions follow spark.sql.shuffle.partitions
-        parts = df.rdd.getNumPartitions()  # scan-only plan: no job runs for this
-    except Exception:  # a session without RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(cores) if parts < cores else df
-
-
 def prefix_sums(df: DataFrame, order_cols: list[str], weight_col: str, out_col: str = "before",
                 num_partitions: int | None = None) -> DataFrame:
     """``out_col`` = sum of ``weight_col`` over all rows strictly earlier in ``order_cols`` order.
@@ -113,5 +96,5 @@ def prefix_sums(df: DataFrame, order_cols: list[str], weight_col: str, out_col:
     starts = per_part.select("_pid", F.coalesce(F.sum("_w").over(w_parts), F.lit(0)).alias("_start"))
     w_local = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum(weight_col).over(w_local), F.lit(0)))
-    out = local.join(F.broadcast(checked_small(starts, 1_000_000, "partition table")), "_pid")
+    out = local.join(starts, "_pid")
     return out.withColumn(out_col, F.col("_start") + F.col("_local")).drop("_mid", "_pid", "_start", "_local")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.patterns import INDUSTRY_SEGMENTS, PERSONAL_EMAIL_DOMAINS, SEASONS
-from tessera.operators.bounded import checked_small, prefix_sums
+from tessera.operators.bounded import prefix_sums
 
 
 def _total(df: DataFrame) -> Column:
@@ -125,10 +125,11 @@ def growth_metrics(df: DataFrame, date_col: str) -> DataFrame:
         F.max_by("year", F.struct(F.col("count"), -F.col("year"))).alias("peak_year"),
         F.max("count").alias("peak_subscriptions"),
     )
-    rate = F.when(F.col("n_years") < 2, F.lit(0.0)).otherwise(F.round(F.coalesce("avg_growth", F.lit(0.0)), 2))
+    # the trend is judged on the mean itself; only the output is rounded
+    mean = F.when(F.col("n_years") < 2, F.lit(0.0)).otherwise(F.coalesce("avg_growth", F.lit(0.0)))
     trend = (F.when(F.col("n_years") < 2, "insufficient_data")
-             .when(rate > 5, "growing").when(rate < -5, "declining").otherwise("stable"))
-    return agg.select(rate.alias("average_growth_rate"), trend.alias("trend"),
+             .when(mean > 5, "growing").when(mean < -5, "declining").otherwise("stable"))
+    return agg.select(F.round(mean, 2).alias("average_growth_rate"), trend.alias("trend"),
                       "peak_year", "peak_subscriptions")
 
 
@@ -228,7 +229,7 @@ def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_cnt"))
     cum = prefix_sums(counts, ["column_name", "value"], "_cnt", "_gbefore")
     col = cum.groupBy("column_name").agg(F.min("_gbefore").alias("_cstart"), F.sum("_cnt").alias("_n"))
-    pos = cum.join(F.broadcast(checked_small(col, 10_000, "column list")), "column_name").withColumn(
+    pos = cum.join(col, "column_name").withColumn(
         "_b", F.col("_gbefore") - F.col("_cstart"))
     covers = {}
     hit = None

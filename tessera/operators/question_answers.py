@@ -1,49 +1,31 @@
 """Apply each question's filters to the receipts and aggregate per question.
 
-The reference runs, per question, ``WHERE date >= since AND store ILIKE %s% AND amount op v
-ORDER BY date DESC LIMIT 100`` and then the A5 figures over those rows. Pairing every
-question with every receipt is quadratic, so the plan is built from equi-joins and bounded
-grouped top-k steps only:
-
-1. ``since`` is a lower bound on the sort key, so the newest 100 of (A and date >= since)
-   equal the newest 100 of A, then filtered by ``since``; it is applied last.
-2. A store filter resolves to store names through the n-gram index (``stores.contains_match``);
-   questions without one use the group ``*`` (all receipts).
-3. Within a family (store group, comparison) the distinct thresholds t_1 < … < t_m cut
-   the receipts into buckets b = #{t_j < x} (x = amount, or −amount for "less than"), so
-   threshold j matches exactly the buckets b >= j. Buckets come from running counts over a
-   range-partitioned, checkpointed order (no window over a whole family).
-4. Per bucket the newest 100 receipts (a grouped top-k, limited map-side before the
-   shuffle); suffix unions over buckets by lifting with fan-in 4: level k holds the newest
-   100 of buckets [b, b + 4^k), built from four shifted copies of level k−1; a
-   threshold's suffix [j, m] is the union of at most 3·(log4(m)+1) such blocks.
-5. Per question: union over its store groups, newest 100, ``since`` filter, aggregates.
-
-Every intermediate has at most 100 rows per (family, bucket, level) or per question.
+Per question the figures are over *all* receipts with ``date >= since AND store contains s AND
+amount op v``. Pairing every question with every receipt is quadratic, so the plan works per
+distinct filter signature and is built from equi-joins and running sums:
+
+1. A store filter resolves to store names through the n-gram index (``stores.contains_match``);
+   signatures without one use the family of all receipts (a flag of its own, so that no store
+   name can be mistaken for it).
+2. A family is (all or one store, direction of comparison, ``since``); distinct ``since`` values
+   are few. A receipt is a member of the families whose store and ``since`` it meets.
+3. Members and the family's thresholds are sorted together by amount over a range partitioning;
+   what stands before a threshold is what it matches, so its figures are running sums: inside
+   its partition plus the totals of the family's earlier partitions (one row a partition).
+4. Stores with a match are counted the same way over one row per (family, store): a store
+   matches where its largest amount does.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import questions as N
-from tessera.operators.bounded import count_at_most, dense_ids
 from tessera.operators.stores import contains_match
 from tessera.session import ensure_checkpoint_dir
 
-FETCH_LIMIT = 100
-ALL_STORES = "*"
-MAX_BROADCAST_FAMILIES = 100_000
-FAN = 4  # buckets merged per lifting level  # (store group, comparison) pairs named by question filters
-
-
-def _newest(df: DataFrame, keys: list[str], n: int = FETCH_LIMIT) -> DataFrame:
-    """Grouped top-n by (date desc, id desc); ``row_number <= n`` is limited before the shuffle."""
-    w = Window.partitionBy(*keys).orderBy(F.desc("receipt_date"), F.desc("receipt_id"))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+_FAMILY = ["every", "grp", "fam", "since"]
 
 
 def _selections(questions: DataFrame, as_of: str) -> DataFrame:
@@ -59,147 +41,90 @@ def _selections(questions: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def _family_key(op: Column) -> Column:
-    return F.when(op == "less", F.lit("lt")).otherwise(F.lit("gt"))
-
-
-def _threshold(op: Column, value: Column) -> Column:
-    return (F.when(op == "greater", value).when(op == "less", -value)
-            .otherwise(F.lit(float("-inf"))))
-
-
-def _buckets(members: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """b = number of the family's thresholds strictly below x, for every member receipt.
-
-    Receipts and thresholds are range-partitioned together on (group, fam, x, kind) and
-    checkpointed; a threshold's running count within its partition plus the count in
-    earlier partitions of the same family gives b. Equal x: thresholds sort after receipts.
-    """
-    spark = members.sparkSession
+def _before(rows: DataFrame, thresholds: DataFrame, sums: list[str]) -> DataFrame:
+    """Per threshold (family, y, strict): the sums over its family's rows with smaller ``y``, or, if it
+    isn't strict, with any ``y``. Rows and thresholds are range-partitioned together and checkpointed,
+    so that the offsets and the running sums see the same partitions."""
+    spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    u = members.select("grp", "fam", "x", F.lit(0).alias("kind"), "receipt_id", "receipt_date", "store_name",
-                       "total_amount").unionByName(
-        thresholds.select("grp", "fam", "x", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("receipt_id"),
-                          F.lit(None).cast("timestamp_ntz").alias("receipt_date"),
-                          F.lit(None).cast("string").alias("store_name"),
-                          F.lit(None).cast("double").alias("total_amount")))
-    order = ["grp", "fam", "x", "kind", "receipt_id"]
+    none = [F.lit(0).cast(t).alias(c) for c, t in rows.dtypes if c in sums]
+    u = rows.select(*_FAMILY, "y", F.lit(1).alias("kind"), *sums).unionByName(
+        thresholds.select(*_FAMILY, "y", F.when(F.col("strict"), 0).otherwise(2).alias("kind"), *none))
+    order = [*_FAMILY, "y", "kind"]
     ranged = (u.repartitionByRange(parts, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
               .withColumn("_pid", F.shiftright("_mid", 33)))
-    per_part = ranged.groupBy("grp", "fam", "_pid").agg(F.sum("kind").alias("_t"))
-    wprev = Window.partitionBy("grp", "fam").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("grp", "fam", "_pid", F.coalesce(F.sum("_t").over(wprev), F.lit(0)).alias("_off"))
-    wrun = Window.partitionBy("_pid", "grp", "fam").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
-    run = ranged.withColumn("_before", F.coalesce(F.sum("kind").over(wrun), F.lit(0)))
-    return (run.where(F.col("kind") == 0).join(offsets, ["grp", "fam", "_pid"])
-            .select("grp", "fam", (F.col("_off") + F.col("_before")).alias("bucket"),
-                    "receipt_id", "receipt_date", "store_name", "total_amount"))
+    per_part = ranged.groupBy(*_FAMILY, "_pid").agg(*[F.sum(c).alias(c) for c in sums])
+    earlier = Window.partitionBy(*_FAMILY).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(*_FAMILY, "_pid", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_off_{c}") for c in sums])
+    running = Window.partitionBy("_pid", *_FAMILY).orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    run = ranged.select("*", *[F.coalesce(F.sum(c).over(running), F.lit(0)).alias(f"_run_{c}") for c in sums]).where("kind <> 1")
+    same = (run["_pid"] == offsets["_pid"]) & run["since"].eqNullSafe(offsets["since"])
+    for c in ("every", "grp", "fam"):
+        same &= run[c] == offsets[c]
+    return run.join(offsets, same).select(
+        *[run[c] for c in _FAMILY], run["y"], (F.col("kind") == 0).alias("strict"),
+        *[(F.col(f"_run_{c}") + F.col(f"_off_{c}")).alias(c) for c in sums])
 
 
 def answer(receipts: DataFrame, questions: DataFrame, as_of: str) -> DataFrame:
-    """Per question: intent, receipts fetched (≤ 100 newest after its filters), spent,
-    stores, average per receipt; ``NO_DATA`` when nothing matched.
-
-    Work is done once per distinct filter signature (many questions share one) and joined
-    back to the questions at the end.
-    """
+    """Per question: intent, matching receipts (``receipt_id`` is their key), spent, stores, average per
+    receipt; ``NO_DATA`` when nothing matched. Null amounts match where no amount is asked for."""
     spark = receipts.sparkSession
     ensure_checkpoint_dir(spark)
     sel = _selections(questions, as_of)
     sig_cols = ["store_filter", "op", "value", "since"]
-    sel = sel.withColumn("sig", F.to_json(F.struct(*sig_cols))).checkpoint(eager=True)
-    sigs = sel.select("sig", *sig_cols).distinct()
-    r = receipts.select("receipt_id", "store_name", "receipt_date", "total_amount").where(
-        F.col("receipt_id").isNotNull())
+    sel = sel.withColumn("sig", F.to_json(F.struct(*sig_cols)))
+    sigs = sel.select("sig", *sig_cols).distinct().checkpoint(eager=True)
+    r = receipts.select("receipt_id", "store_name", "receipt_date", "total_amount").where(F.col("receipt_id").isNotNull())
 
-    # 2. store groups of each signature
+    # 1. store groups of each signature
     filters = sigs.where(F.col("store_filter").isNotNull()).select(F.lower("store_filter").alias("norm")).distinct()
     names = r.select(F.col("store_name").alias("name")).where(F.col("name").isNotNull()).distinct()
     store_hits = contains_match(names.select(F.col("name").alias("id"), "name"), filters)
+    keep = ["sig", "op", "value", "since"]
     sig_groups = (sigs.where(F.col("store_filter").isNotNull())
                   .join(store_hits.withColumnRenamed("id", "grp"), F.lower("store_filter") == F.col("norm"))
-                  .select("sig", "op", "value", "grp")
+                  .select(*keep, F.lit(False).alias("every"), "grp")
                   .unionByName(sigs.where(F.col("store_filter").isNull())
-                               .select("sig", "op", "value", F.lit(ALL_STORES).alias("grp"))))
-    sig_groups = sig_groups.select("sig", "grp", _family_key(F.col("op")).alias("fam"),
-                                   _threshold(F.col("op"), F.col("value")).alias("x"))
-
-    # 3. thresholds per family, numbered 1..m in ascending order; bucket every member receipt
-    thresholds = sig_groups.select("grp", "fam", "x").distinct()
-    # j = rank of x inside its family, from a distributed dense numbering (a family may
-    # hold millions of thresholds, so no window over a whole family)
-    pos = dense_ids(thresholds, ["grp", "fam", "x"], "_g")
-    fam_stats = pos.groupBy("grp", "fam").agg(F.min("_g").alias("_first"), F.count(F.lit(1)).alias("m"))
-    numbered = (pos.join(fam_stats, ["grp", "fam"])
-                .select("grp", "fam", "x", (F.col("_g") - F.col("_first") + 1).alias("j"), "m")
-                .checkpoint(eager=True))
-    fams = numbered.select("grp", "fam").distinct()
-    members = (r.select(F.lit(ALL_STORES).alias("grp"), "*")
-               .unionByName(r.select(F.col("store_name").alias("grp"), "*")))
-    if count_at_most(fams, MAX_BROADCAST_FAMILIES) <= MAX_BROADCAST_FAMILIES:
-        members = members.join(F.broadcast(fams), "grp")
-    else:
-        # many store groups: a shuffle join; the all-stores group is one hot key, which
-        # AQE's skew-join handling splits across tasks
-        members = members.join(fams, "grp")
-    members = members.withColumn(
-        "x", F.when(F.col("fam") == "lt", -F.col("total_amount")).otherwise(F.col("total_amount")))
-    bucketed = _buckets(members, numbered.select("grp", "fam", "x"))
-
-    # 4. newest 100 per bucket, then lifting levels over bucket suffixes with fan-in 4:
-    #    level k holds, per start b, the newest 100 of buckets [b, b + 4^k)
-    level = _newest(bucketed.where(F.col("bucket") >= 1), ["grp", "fam", "bucket"]).select(
-        "grp", "fam", F.col("bucket").alias("start"), F.lit(0).alias("level"),
-        "receipt_id", "receipt_date", "store_name", "total_amount").checkpoint(eager=True)
-    max_m = numbered.agg(F.max("m")).collect()[0][0] or 0
-    top_level = 0
-    while FAN ** (top_level + 1) <= max_m:
-        top_level += 1
-    levels = [level]
-    for k in range(1, top_level + 1):
-        step = FAN ** (k - 1)
-        prev = levels[-1]
-        parts = prev
-        for t in range(1, FAN):
-            parts = parts.unionByName(prev.withColumn("start", F.col("start") - t * step).where(F.col("start") >= 1))
-        level = _newest(parts, ["grp", "fam", "start"]).withColumn("level", F.lit(k)).checkpoint(eager=True)
-        levels.append(level)
-    blocks = levels[0]
-    for lv in levels[1:]:
-        blocks = blocks.unionByName(lv)
-
-    # 5. suffix [j, m]: with L = m - j + 1 written in base 4, digit d_k contributes d_k
-    #    blocks of level k, starting after the blocks of all higher digits
-    pieces = (numbered.withColumn("L", F.col("m") - F.col("j") + 1)
-              .select("grp", "fam", "x", "L", "j", F.explode(F.sequence(F.lit(0), F.lit(top_level))).alias("level"))
-              .withColumn("_unit", F.pow(F.lit(FAN), F.col("level")).cast("long"))
-              .withColumn("_digit", (F.col("L") / F.col("_unit")).cast("long") % FAN)
-              .withColumn("_high", (F.col("L") / (F.col("_unit") * FAN)).cast("long") * F.col("_unit") * FAN)
-              .select("grp", "fam", "x", "level", F.explode(F.sequence(F.lit(0), F.lit(FAN - 2))).alias("_t"),
-                      "_digit", "_unit", "_high", "j")
-              .where(F.col("_t") < F.col("_digit"))
-              .withColumn("start", F.col("j") + F.col("_high") + F.col("_t") * F.col("_unit")))
-    per_threshold = _newest(pieces.join(blocks, ["grp", "fam", "level", "start"]), ["grp", "fam", "x"]).select(
-        "grp", "fam", "x", "receipt_id", "receipt_date", "store_name", "total_amount")
-
-    # 6. per signature: union over its groups, newest 100, since filter, figures
-    fetched = _newest(sig_groups.join(per_threshold, ["grp", "fam", "x"]), ["sig"])
-    fetched = fetched.join(sigs.select("sig", "since"), "sig").where(
-        F.col("since").isNull() | (F.col("receipt_date") >= F.col("since")))
-    paid = F.col("total_amount").isNotNull() & (F.col("total_amount") != 0)
-    figures = fetched.groupBy("sig").agg(
-        F.count_distinct("receipt_id").alias("total_receipts"),
-        F.coalesce(F.sum(F.when(paid, F.col("total_amount"))), F.lit(0.0)).alias("total_spent"),
-        F.count_distinct(F.when(paid, F.col("store_name"))).alias("unique_stores"),
-    )
-    out = sel.select("question_id", "intent", "sig").join(figures, "sig", "left")
-    n = F.coalesce(F.col("total_receipts"), F.lit(0))
-    spent = F.coalesce(F.col("total_spent"), F.lit(0.0))
+                               .select(*keep, F.lit(True).alias("every"), F.lit("").alias("grp"))))
+    less = F.col("op") == "less"
+    sig_groups = sig_groups.select(
+        "sig", "every", "grp", F.when(less, "lt").otherwise("gt").alias("fam"), "since",
+        F.when(less, F.col("value")).when(F.col("op") == "greater", -F.col("value")).otherwise(F.lit(float("inf"))).alias("y"),
+        F.col("op").isNotNull().alias("strict")).checkpoint(eager=True)
+    thresholds = sig_groups.select(*_FAMILY, "y", "strict").distinct()
+
+    # 2. members: a receipt in the family of all and in its store's
+    fams = thresholds.select(*_FAMILY).distinct()
+    groups = r.select(F.lit(True).alias("every"), F.lit("").alias("grp"), "*").unionByName(
+        r.where(F.col("store_name").isNotNull()).select(F.lit(False).alias("every"), F.col("store_name").alias("grp"), "*"))
+    members = groups.join(fams, ["every", "grp"]).where(F.col("since").isNull() | (F.col("receipt_date") >= F.col("since")))
+    amount = F.col("total_amount")
+    paid = amount.isNotNull() & (amount != 0)
+    members = members.select(
+        *_FAMILY, "store_name", F.coalesce(F.when(F.col("fam") == "lt", amount).otherwise(-amount), F.lit(float("inf"))).alias("y"),
+        paid.alias("paid"), F.lit(1).cast("long").alias("n"), F.when(paid, amount).otherwise(F.lit(0.0)).alias("spent"))
+
+    # 3. and 4. figures per threshold, then per signature over its store groups
+    figures = _before(members, thresholds, ["n", "spent"])
+    stores = members.where(F.col("paid") & F.col("store_name").isNotNull()).groupBy(*_FAMILY, "store_name").agg(F.min("y").alias("y"))
+    shops = _before(stores.select(*_FAMILY, "y", F.lit(1).cast("long").alias("stores")), thresholds, ["stores"])
+
+    def of_signature(found: DataFrame, sums: list[str]) -> DataFrame:
+        on = sig_groups["since"].eqNullSafe(found["since"])
+        for c in ("every", "grp", "fam", "y", "strict"):
+            on &= sig_groups[c] == found[c]
+        return sig_groups.join(found, on).groupBy(sig_groups["sig"]).agg(*[F.sum(found[c]).alias(c) for c in sums])
+
+    out = (sel.select("question_id", "intent", "sig").join(of_signature(figures, ["n", "spent"]), "sig", "left")
+           .join(of_signature(shops, ["stores"]), "sig", "left"))
+    n = F.coalesce(F.col("n"), F.lit(0))
+    spent = F.when(n > 0, F.coalesce(F.col("spent"), F.lit(0.0))).otherwise(F.lit(0.0))
     return out.select(
         "question_id", F.when(n == 0, F.lit("NO_DATA")).otherwise(F.col("intent")).alias("answer_kind"),
         n.cast("long").alias("total_receipts"), spent.alias("total_spent"),
-        F.coalesce(F.col("unique_stores"), F.lit(0)).cast("long").alias("unique_stores"),
+        F.coalesce(F.col("stores"), F.lit(0)).cast("long").alias("unique_stores"),
         F.when(n > 0, spent / n).otherwise(F.lit(0.0)).alias("average_per_receipt"),
     )

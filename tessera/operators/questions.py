@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.numbers import to_double, to_long
+
 # --- fixed values: phrase lists and patterns, in the reference's order ---------------
 TIME_PHRASES = [
     (["last week", "past week", "this week"], 7),
@@ -18,6 +20,7 @@ TIME_PHRASES = [
     (["yesterday"], 1),
 ]
 TODAY_PHRASE = "today"
+NOTHING_AFTER = "9999-12-31 00:00:00"
 DAYS_PATTERN = r"(?:last|past)\s+(\d+)\s+days?"
 STORE_PATTERNS = [r"at\s+([a-zA-Z\s&]+)", r"from\s+([a-zA-Z\s&]+)", r"in\s+([a-zA-Z\s&]+)"]
 AMOUNT_PATTERNS = [
@@ -59,7 +62,11 @@ def time_filter(question: Column, as_of: str) -> Column:
         expr = F.when(_any(q, phrases), val) if expr is None else expr.when(_any(q, phrases), val)
     expr = expr.when(q.contains(TODAY_PHRASE), F.date_trunc("day", now).cast("timestamp_ntz"))
     n_days = F.regexp_extract(q, "(?U)" + DAYS_PATTERN, 1)
-    expr = expr.when(n_days != "", now - F.make_interval(days=n_days.cast("int")))
+    # a day count that reaches before the first date matches nothing, as it does in the reference's overflow
+    n = to_long(n_days)
+    known = n <= F.datediff(now, F.lit("0001-01-01").cast("date"))
+    back = F.when(known, now - F.make_interval(days=F.when(known, n).cast("int"))).otherwise(F.lit(NOTHING_AFTER).cast("timestamp_ntz"))
+    expr = expr.when(n_days != "", back)
     return expr
 
 
@@ -80,7 +87,7 @@ def amount_filter(question: Column) -> Column:
     expr = None
     for p, op in AMOUNT_PATTERNS:
         v = F.regexp_extract(q, "(?U)" + p, 1)
-        val = F.struct(F.lit(op).alias("operator"), v.cast("double").alias("value"))
+        val = F.struct(F.lit(op).alias("operator"), to_double(v).alias("value"))
         expr = F.when(v != "", val) if expr is None else expr.when(v != "", val)
     return expr
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import receipt_text as RT
-from tessera.operators.bounded import spread
 from tessera.operators.clean import strip_ws
 
 
@@ -26,9 +25,14 @@ def best_candidate(candidates: DataFrame, group_col: str, text_col: str = "text"
     ).select(group_col, "best.*")
 
 
-def parse(texts: DataFrame, as_of: str, id_col: str = "doc_id", text_col: str = "raw_text") -> DataFrame:
-    """One receipt record per text: store, address, date, total, tax, discount, items."""
-    texts = spread(texts)  # text rules are CPU-bound per row
+def parse(texts: DataFrame, as_of: str, id_col: str = "doc_id", text_col: str = "raw_text",
+          partitions: int | None = None) -> DataFrame:
+    """One receipt record per text: store, address, date, total, tax, discount, items.
+
+    The text rules are CPU-bound per row; ``partitions`` deals the texts out first, for inputs
+    that arrive in fewer splits than there are cores."""
+    if partitions:
+        texts = texts.repartition(partitions)
     # staged projections: each shared intermediate is one column, computed once per row
     # (the optimizer keeps a projection apart rather than inline an expensive expression twice)
     lined = texts.select(id_col, text_col, RT.clean_lines(F.col(text_col)).alias("_lines"))
@@ -59,8 +63,11 @@ def items_table(parsed: DataFrame) -> DataFrame:
 
 
 def write_tables(parsed: DataFrame, path: str) -> tuple[str, str]:
-    """Write both tables as Parquet (overwrite is idempotent on a task or job retry)."""
+    """Write both tables as Parquet (overwrite is idempotent on a task or job retry). The texts are
+    parsed once: the parsed rows are written first and both tables derived from them."""
     r, i = f"{path}/receipts", f"{path}/receipt_items"
+    parsed.write.mode("overwrite").parquet(f"{path}/parsed")
+    parsed = parsed.sparkSession.read.parquet(f"{path}/parsed")
     receipts_table(parsed).write.mode("overwrite").parquet(r)
     items_table(parsed).write.mode("overwrite").parquet(i)
     return r, i

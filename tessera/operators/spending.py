@@ -3,7 +3,7 @@
 Inputs: ``receipts(receipt_id, store_name, receipt_date, total_amount)`` and
 ``items(receipt_id, line_no, part_id, item_name, category, quantity, unit_price, total_price)``.
 Aggregates are partial + final hash aggregates; the small "fetched" sets of the
-reference (100 receipts, 1,000 items) are top-k reports, the only places with a limit.
+reference (the newest 100 receipts) are top-k reports, the only places with a limit.
 Windows without ``partitionBy`` run only over already-bounded rows (top-N lists, days).
 """
 
@@ -12,10 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.bounded import checked_small
-
 RECENT_RECEIPTS = 100
-RECENT_ITEMS = 1000
 
 
 def money_text(x: Column) -> Column:
@@ -29,15 +26,9 @@ def newest(receipts: DataFrame, n: int = RECENT_RECEIPTS) -> DataFrame:
     return receipts.orderBy(F.desc("receipt_date"), F.desc("receipt_id")).limit(n)
 
 
-def items_of(recent: DataFrame, items: DataFrame, n: int = RECENT_ITEMS) -> DataFrame:
-    """A2: items of a bounded receipt set with the receipt's fields, first ``n`` by line order."""
-    small = checked_small(recent.select("receipt_id", "store_name", "receipt_date", "total_amount"),
-                          100_000, "receipt set")
-    return (
-        items.join(F.broadcast(small), "receipt_id")
-        .orderBy("receipt_id", "line_no", "part_id", "total_price")
-        .limit(n)
-    )
+def items_of(recent: DataFrame, items: DataFrame) -> DataFrame:
+    """A2: every item of the given receipts, with the receipt's fields."""
+    return items.join(recent.select("receipt_id", "store_name", "receipt_date", "total_amount"), "receipt_id")
 
 
 def combined_rows(recent: DataFrame, recent_items: DataFrame) -> DataFrame:
@@ -202,11 +193,9 @@ def with_items(receipts: DataFrame, items: DataFrame) -> DataFrame:
 
 def receipts_page(receipts: DataFrame, items: DataFrame, skip: int = 0, limit: int = 100) -> DataFrame:
     """A page of receipts, newest first, with nested items. The page is bounded by
-    ``limit`` and broadcast into the item scan; only its items are grouped."""
+    ``limit``; only its items are grouped."""
     page = receipts.orderBy(F.desc("receipt_date"), F.desc("receipt_id")).offset(skip).limit(limit)
-    small = checked_small(page, max(limit, 1), "page")
-    its = items.join(F.broadcast(small.select("receipt_id")), "receipt_id")
-    return with_items(small, its)
+    return with_items(page, items.join(page.select("receipt_id"), "receipt_id"))
 
 
 def one_receipt(receipts: DataFrame, items: DataFrame, receipt_id: int) -> DataFrame:

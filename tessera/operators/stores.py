@@ -102,30 +102,70 @@ def match_existing(receipts: DataFrame, stores: DataFrame) -> DataFrame:
     return joined.drop("_name")
 
 
+def _creating_names(first: DataFrame, covers: DataFrame) -> DataFrame:
+    """The names whose first receipt creates a store: those that no earlier creating name covers.
+
+    ``first``: (store_name, norm, receipt_id) of each name's first receipt; ``covers``: (norm,
+    name), the store name containing that norm. Names without an earlier covering one create;
+    what a creating name covers doesn't; the rest is decided in the next round, so the number
+    of rounds is the longest chain of names inside names.
+    """
+    later = first.select(F.col("store_name").alias("later"), "norm", F.col("receipt_id").alias("_at"))
+    earlier = first.select(F.col("store_name").alias("earlier"), F.col("receipt_id").alias("_before"))
+    by_norm = covers.select("norm", F.col("name").alias("earlier"))
+    pairs = (later.join(by_norm, "norm").join(earlier, "earlier").where(F.col("_before") < F.col("_at"))
+             .select("later", "earlier").checkpoint(eager=True))
+    open_names = first.select("store_name")
+    creating = None
+    while True:
+        made = open_names.join(pairs.select(F.col("later").alias("store_name")), "store_name", "left_anti").checkpoint(eager=True)
+        creating = made if creating is None else creating.unionByName(made)
+        covered = pairs.join(made.withColumnRenamed("store_name", "earlier"), "earlier").select(
+            F.col("later").alias("store_name")).distinct().checkpoint(eager=True)
+        decided = made.unionByName(covered)
+        open_names = open_names.join(decided, "store_name", "left_anti").checkpoint(eager=True)
+        if open_names.isEmpty():
+            return creating
+        # pairs of undecided names only: a covered name creates nothing and so covers nothing
+        left = open_names.select("store_name")
+        pairs = pairs.join(left.withColumnRenamed("store_name", "later"), "later").join(
+            left.withColumnRenamed("store_name", "earlier"), "earlier").select("later", "earlier").checkpoint(eager=True)
+
+
 def create_missing(receipts: DataFrame, stores: DataFrame) -> tuple[DataFrame, DataFrame]:
     """D2+D3: (receipts with ``store_id``, new stores).
 
-    Batch rule for the reference's one-at-a-time loop: receipts first match existing
-    stores; the rest are grouped by normalized name, the lowest receipt of each group
-    creates the store (its original name and address, category by D5), new ids follow
-    ``max(id)`` in order of that first receipt; a receipt then takes the lowest new store
-    whose name contains its normalized name.
+    Equals the reference's loop over receipts in id order: a receipt takes the lowest store, old or
+    created by an earlier receipt, whose name contains its normalized name; without one it
+    creates a store under its own name and address (category by D5) and takes that. Ids follow
+    ``max(id)`` in order of the creating receipts. Receipts with a blank name get no store.
+
+    Decided per distinct name: only a name's first receipt can create, or, where a name doesn't
+    contain its own normalized form (inner double spaces), any of its receipts that no earlier
+    creating name covers.
     """
-    # used three times below: written once to the shared checkpoint folder (cuts lineage too)
+    # used several times below: written once to the shared checkpoint folder (cuts lineage too)
     ensure_checkpoint_dir(receipts.sparkSession)
     matched = match_existing(receipts, stores).checkpoint(eager=True)
     rest = matched.where(F.col("store_id").isNull() & (F.col("norm") != ""))
-    firsts = rest.groupBy("norm").agg(F.min_by(F.struct("receipt_id", "store_name", "store_address"),
-                                               F.col("receipt_id")).alias("f")).select("norm", "f.*")
+    first = rest.groupBy("store_name", "norm").agg(F.min("receipt_id").alias("receipt_id")).checkpoint(eager=True)
+    covers = contains_match(first.select(F.col("store_name").alias("id"), F.col("store_name").alias("name")).distinct(),
+                            first.select("norm").distinct()).withColumnRenamed("id", "name").checkpoint(eager=True)
+    creating = _creating_names(first, covers)
+    earliest = (covers.join(first.join(creating, "store_name").select(F.col("store_name").alias("name"), "receipt_id"), "name")
+                .groupBy("norm").agg(F.min("receipt_id").alias("_from")))
+    # a receipt links to the earliest creating receipt that covers it, or creates
+    linked = matched.join(earliest, "norm", "left").withColumn("_from", F.when(
+        F.col("store_id").isNull() & (F.col("norm") != ""), F.least(F.coalesce("_from", "receipt_id"), F.col("receipt_id")))).checkpoint(eager=True)
     start = stores.select(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
-    new = dense_ids(firsts, ["receipt_id"], "id", offset=start).select(
+    makers = linked.where(F.col("_from") == F.col("receipt_id")).select("receipt_id", "store_name", "store_address").distinct()
+    new = dense_ids(makers, ["receipt_id"], "id", offset=start).select(
         "id", F.col("store_name").alias("name"), F.col("store_address").alias("address"),
         store_category(F.col("store_name")).alias("category"), F.col("receipt_id").alias("first_receipt"))
-    inner = contains_match(new, rest.select("norm"))
-    new_hit = inner.join(new.select("id", "first_receipt"), "id").groupBy("norm").agg(
-        F.min("id").alias("new_id"))
-    out = matched.join(new_hit, "norm", "left").withColumn("store_id", F.coalesce("store_id", "new_id"))
-    return out.drop("new_id"), new.drop("first_receipt")
+    new = new.checkpoint(eager=True)
+    ids = new.select(F.col("id").alias("new_id"), F.col("first_receipt").alias("_from"))
+    out = linked.join(ids, "_from", "left").withColumn("store_id", F.coalesce("store_id", "new_id"))
+    return out.select(*matched.columns), new.drop("first_receipt")
 
 
 def backfill_address(stores: DataFrame, matched: DataFrame) -> DataFrame:

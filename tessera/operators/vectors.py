@@ -1,24 +1,18 @@
 """Exact cosine search and statistics over embedding tables.
 
-Search plan: vectors stay a partitioned scan; norms are computed once per vector; the
-query set is broadcast behind a size check and joined on vector length (an equi-join:
-vectors of another length are skipped, V5); each partition keeps its own top-k per query
-(``WindowGroupLimit`` before the shuffle), so only queries × k × partitions rows move.
-Query sets beyond the broadcast bound are searched in bounded batches.
+Search plan: vectors are read once, with norms computed once per vector, and dealt to blocks;
+each block meets the query set on vector length (an equi-join: vectors of another length are
+skipped, V5) and keeps its own top-k per query (``WindowGroupLimit`` before the shuffle), so
+queries x k x blocks rows move.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.vector_fns import cosine, is_valid_embedding, norm, normalize, uniform01
-from tessera.operators.bounded import checked_small, dense_ids
-
-MAX_BROADCAST_QUERIES = 20_000
-
+from tessera.operators.bounded import dense_ids
 
 def _prepare_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return vectors.select(
@@ -38,59 +32,42 @@ def _prepare_queries(queries: DataFrame, qid_col: str, qvec_col: str) -> DataFra
     )
 
 
-def scored_candidates(vectors: DataFrame, queries: DataFrame, id_col="id", vec_col="embedding",
-                      qid_col="query_id", qvec_col="query_vector",
-                      max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
-    """(query_id, id, similarity) for every same-length pair; the query side is size-checked."""
-    v = _prepare_vectors(vectors, id_col, vec_col)
-    q = checked_small(_prepare_queries(queries, qid_col, qvec_col), max_queries, "query set")
-    pairs = v.join(F.broadcast(q), "_dim")
-    return pairs.select(
-        "query_id", "id", cosine("_v", "_q", "_vn", "_qn", strict=False).alias("similarity")
-    )
+def _blocks(df: DataFrame, blocks: int | None) -> int:
+    return blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _top_k(scored: DataFrame, k: int, min_similarity: float) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("id"))
-    return (
-        scored.where(F.col("similarity") >= F.lit(min_similarity))
-        .withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
-    )
+def scored_candidates(vectors: DataFrame, queries: DataFrame, id_col="id", vec_col="embedding",
+                      qid_col="query_id", qvec_col="query_vector", blocks: int | None = None) -> DataFrame:
+    """(query_id, block, id, similarity) of a stated query set against all vectors of the same length.
+
+    Vectors are dealt to blocks by a hash of their id and each block gets the queries once, so
+    the vectors are read once, whatever the number of queries, and the optimizer chooses how
+    the query side travels."""
+    n = _blocks(vectors, blocks)
+    v = _prepare_vectors(vectors, id_col, vec_col).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    q = _prepare_queries(queries, qid_col, qvec_col).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return v.join(q, ["block", "_dim"]).select(
+        "query_id", "block", "id", cosine("_v", "_q", "_vn", "_qn", strict=False).alias("similarity"))
 
 
 def search_many(vectors: DataFrame, queries: DataFrame, k: int = 5, min_similarity: float = 0.0,
                 id_col="id", vec_col="embedding", qid_col="query_id", qvec_col="query_vector",
-                max_broadcast_queries: int = MAX_BROADCAST_QUERIES, batched: bool = False) -> DataFrame:
-    """V3: exact top-k per query (similarity desc, id asc), ``similarity >= min_similarity``.
-
-    Default: one broadcast of the query set (fails at run time beyond the bound).
-    ``batched=True``: count the queries and search in bounded broadcast batches.
-    """
-    if not batched:
-        scored = scored_candidates(vectors, queries, id_col, vec_col, qid_col, qvec_col, max_broadcast_queries)
-        return _top_k(scored, k, min_similarity).select("query_id", "rank", "id", "similarity")
-    n = queries.count()
-    if n <= max_broadcast_queries:
-        return search_many(vectors, queries, k, min_similarity, id_col, vec_col, qid_col, qvec_col,
-                           max_broadcast_queries, False)
-    numbered = dense_ids(queries, [qid_col], "_qn_id").checkpoint()
-    out = None
-    for b in range(math.ceil(n / max_broadcast_queries)):
-        part = numbered.where(
-            ((F.col("_qn_id") - 1) / max_broadcast_queries).cast("long") == b
-        ).drop("_qn_id")
-        res = search_many(vectors, part, k, min_similarity, id_col, vec_col, qid_col, qvec_col,
-                          max_broadcast_queries, False)
-        out = res if out is None else out.unionByName(res)
-    return out
+                blocks: int | None = None) -> DataFrame:
+    """V3: exact top-k per query (similarity desc, id asc), ``similarity >= min_similarity``: the best k of
+    each block (limited before they move), then of all blocks. Any number of queries."""
+    scored = scored_candidates(vectors, queries, id_col, vec_col, qid_col, qvec_col, blocks)
+    best = [F.desc("similarity"), F.asc("id")]
+    scored = scored.where(F.col("similarity") >= F.lit(min_similarity))
+    for keys in (["block", "query_id"], ["query_id"]):
+        scored = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*best))).where(F.col("rank") <= k)
+    return scored.select("query_id", "rank", "id", "similarity")
 
 
 def search(vectors: DataFrame, query: DataFrame, k: int = 5, min_similarity: float = 0.0,
            id_col="id", vec_col="embedding", qvec_col="query_vector") -> DataFrame:
     """V2: one query vector (a one-row DataFrame) → top-k rows, ordered."""
     q = query.select(F.lit(0).alias("query_id"), F.col(qvec_col).alias("query_vector"))
-    scored = scored_candidates(vectors, q, id_col, vec_col, max_queries=1)
+    scored = scored_candidates(vectors, q, id_col, vec_col)
     return (
         scored.where(F.col("similarity") >= F.lit(min_similarity))
         .orderBy(F.desc("similarity"), F.asc("id"))
@@ -145,22 +122,22 @@ def first_per_category(vectors: DataFrame, id_col="id", vec_col="embedding", met
 
 
 def category_similarity_matrix(vectors: DataFrame, id_col="id", vec_col="embedding",
-                               metadata_col="metadata", max_categories: int = 1_000,
-                               wide: bool = False) -> DataFrame:
-    """Cosine between the representatives of every pair of categories (diagonal included).
+                               metadata_col="metadata", wide: bool = False, blocks: int | None = None) -> DataFrame:
+    """Cosine between the representatives of every pair of categories (diagonal included); NULL
+    between vectors of different lengths.
 
-    Representatives are one row per category; the right side is size-checked before the
-    broadcast. Long form (category_1, category_2, similarity); ``wide`` pivots it.
+    The result has a row per pair; the representatives (one row a category) are dealt to blocks,
+    and each block gets the others once. Long form (category_1, category_2, similarity);
+    ``wide`` pivots it.
     """
+    n = _blocks(vectors, blocks)
     reps = first_per_category(vectors, id_col, vec_col, metadata_col)
     left = reps.select(F.col("category").alias("category_1"), F.col("embedding").alias("_a"),
-                       F.size("embedding").alias("_dim"))
-    right = checked_small(reps, max_categories, "category set").select(
-        F.col("category").alias("category_2"), F.col("embedding").alias("_b"), F.size("embedding").alias("_dim")
-    )
-    long = left.join(F.broadcast(right), "_dim").select(
-        "category_1", "category_2", F.round(cosine("_a", "_b", strict=False), 6).alias("similarity")
-    )
+                       F.pmod(F.xxhash64("category"), F.lit(n)).cast("int").alias("block"))
+    right = reps.select(F.col("category").alias("category_2"), F.col("embedding").alias("_b"),
+                        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"))
+    long = left.join(right, "block").select(
+        "category_1", "category_2", F.when(F.size("_a") == F.size("_b"), F.round(cosine("_a", "_b", strict=False), 6)).alias("similarity"))
     if wide:
         return long.groupBy("category_1").pivot("category_2").agg(F.first("similarity"))
     return long

@@ -83,17 +83,18 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
 
 STORES_V = """
-SELECT s_suppkey AS id, 'The ' || s_name || ' ' || CASE s_suppkey % 5 WHEN 0 THEN 'Mini Mart' WHEN 1 THEN 'Coffee House'
+SELECT s_suppkey AS id, 'The ' || CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE 'Depot ' || CAST(s_suppkey AS VARCHAR) END || ' ' || CASE s_suppkey % 5 WHEN 0 THEN 'Mini Mart' WHEN 1 THEN 'Coffee House'
     WHEN 2 THEN 'Book Store' WHEN 3 THEN 'Tech Mobile' ELSE 'Outlet' END AS name,
   CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'Lot ' || CAST(s_suppkey AS VARCHAR) END AS address,
   CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 5 = 0 THEN 'Grocery' WHEN s_suppkey % 5 = 1 THEN 'Restaurant'
     WHEN s_suppkey % 5 = 2 THEN 'Stationery' WHEN s_suppkey % 5 = 3 THEN 'Electronics' ELSE 'Other' END AS category
-FROM supplier WHERE s_suppkey % 2 = 0
+FROM supplier
 """
 
 STORE_RECEIPTS_V = """
 SELECT o_orderkey AS receipt_id,
-  s_name || CASE o_orderkey % 4 WHEN 0 THEN ' Sdn Bhd' WHEN 1 THEN ' Pte Ltd' WHEN 2 THEN ' INC' ELSE '' END AS store_name,
+  CASE o_orderkey % 16 WHEN 3 THEN 'Big ' || s_name || ' East' WHEN 7 THEN 'Plaza   ' || s_name WHEN 11 THEN 'Plaza ' || s_name
+    ELSE s_name || CASE o_orderkey % 4 WHEN 0 THEN ' Sdn Bhd' WHEN 1 THEN ' Pte Ltd' WHEN 2 THEN ' INC' ELSE '' END END AS store_name,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'No ' || CAST(o_orderkey % 100 AS VARCHAR) || ' Jalan Besar' END
     AS store_address
 FROM orders JOIN (SELECT l_orderkey, min(l_suppkey) AS sk FROM lineitem GROUP BY l_orderkey) f ON l_orderkey = o_orderkey
@@ -119,6 +120,8 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{name} AS ({VIEWS[name]})" for name in used)
     body = sql.lstrip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:]}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:]}"
     return f"WITH {ctes}\n{body}"

@@ -38,15 +38,6 @@ def s01_csv_scan(spark, d):
     return S.read_csv(spark, _written_csv(spark, d))
 
 
-def s03_csv_columns(spark, d):
-    cols = S.csv_columns(spark, _written_csv(spark, d))
-    return spark.createDataFrame(list(enumerate(cols)), "position int, column_name string")
-
-
-def s04_schema_report(spark, d):
-    return S.schema_report(Tables(spark, d).customer)
-
-
 def s10_json_report(spark, d):
     """Quality summary written as JSON to the shared folder and read back as text."""
     path = S.write_json_report(Q.quality_summary(_cust(spark, d)), shared_dir(spark, "json_report"))
@@ -229,10 +220,6 @@ def b21_describe_customer(spark, d):
     return _rounded_describe(B.describe(Tables(spark, d).customer, ["c_acctbal"]))
 
 
-def b22_columns_by_kind(spark, d):
-    return B.columns_by_kind(Tables(spark, d).orders)
-
-
 # --- oracles ---------------------------------------------------------------------------
 
 def _ws_strip(c: str) -> str:
@@ -281,8 +268,8 @@ _YEARS = f"(SELECT CAST(year(d) AS INTEGER) AS year, count(*) AS count FROM {_DA
 
 def _growth(years: str) -> str:
     return f"""SELECT CASE WHEN n < 2 THEN 0.0 ELSE round(coalesce(g, 0.0), 2) END::DOUBLE AS average_growth_rate,
-      CASE WHEN n < 2 THEN 'insufficient_data' WHEN round(coalesce(g, 0.0), 2) > 5 THEN 'growing'
-           WHEN round(coalesce(g, 0.0), 2) < -5 THEN 'declining' ELSE 'stable' END AS trend,
+      CASE WHEN n < 2 THEN 'insufficient_data' WHEN coalesce(g, 0.0) > 5 THEN 'growing'
+           WHEN coalesce(g, 0.0) < -5 THEN 'declining' ELSE 'stable' END AS trend,
       peak_year, peak_subscriptions
     FROM (SELECT count(*) AS n, avg(growth) AS g, arg_max(year, count * 100000 - year) AS peak_year,
             max(count) AS peak_subscriptions
@@ -420,8 +407,6 @@ ORACLES = {
 
 QUERIES = {
     "s01_csv_scan": s01_csv_scan,
-    "s03_csv_columns": s03_csv_columns,
-    "s04_schema_report": s04_schema_report,
     "s10_json_report": s10_json_report,
     "p01_dedup_first": p01_dedup_first,
     "p01_dedup_orders": p01_dedup_orders,
@@ -471,5 +456,4 @@ QUERIES = {
     "b20_contact_completeness": b20_contact_completeness,
     "b21_describe_lineitem": b21_describe_lineitem,
     "b21_describe_customer": b21_describe_customer,
-    "b22_columns_by_kind": b22_columns_by_kind,
 }

@@ -106,8 +106,7 @@ _SEL = f"""(SELECT question_id, {_intent_sql()} AS intent, {_any_sql(N.ALL_DATA_
     {_amount_sql('value')} AS amount_value FROM questions_v)"""
 ORACLES["n06_question_answers"] = f"""
 WITH q AS {_SEL},
-m AS (SELECT q.question_id, q.all_data, q.since, r.receipt_id, r.receipt_date, r.store_name, r.total_amount,
-        row_number() OVER (PARTITION BY q.question_id ORDER BY r.receipt_date DESC, r.receipt_id DESC) AS rn
+m AS (SELECT q.question_id, q.all_data, q.since, r.receipt_id, r.receipt_date, r.store_name, r.total_amount
       FROM q JOIN receipts_v r ON q.all_data OR (
         (q.store_filter IS NULL OR contains(lower(r.store_name), lower(q.store_filter)))
         AND (q.op IS NULL OR (q.op = 'greater' AND r.total_amount > q.amount_value)
@@ -115,7 +114,7 @@ m AS (SELECT q.question_id, q.all_data, q.since, r.receipt_id, r.receipt_date, r
 f AS (SELECT question_id, count(DISTINCT receipt_id) AS n,
         coalesce(sum(total_amount) FILTER (WHERE total_amount IS NOT NULL AND total_amount <> 0), 0.0) AS spent,
         count(DISTINCT store_name) FILTER (WHERE total_amount IS NOT NULL AND total_amount <> 0) AS stores
-      FROM m WHERE rn <= 100 AND (all_data OR since IS NULL OR receipt_date >= since) GROUP BY question_id)
+      FROM m WHERE (all_data OR since IS NULL OR receipt_date >= since) GROUP BY question_id)
 SELECT q.question_id, CASE WHEN coalesce(f.n, 0) = 0 THEN 'NO_DATA' ELSE q.intent END AS answer_kind,
   CAST(coalesce(f.n, 0) AS BIGINT) AS total_receipts, CAST(coalesce(f.stores, 0) AS BIGINT) AS unique_stores,
   round(coalesce(f.spent, 0.0), 4) AS total_spent,

@@ -144,7 +144,7 @@ def a21_answer_lines(spark, d):
 
 _NEWEST = "(SELECT * FROM receipts_v ORDER BY receipt_date DESC, receipt_id DESC LIMIT 100)"
 _RITEMS = f"""(SELECT i.*, r.store_name, r.receipt_date, r.total_amount FROM items_v i JOIN {_NEWEST} r
-    ON i.receipt_id = r.receipt_id ORDER BY i.receipt_id, i.line_no, i.part_id, i.total_price LIMIT 1000)"""
+    ON i.receipt_id = r.receipt_id)"""
 _COMBINED = f"""(SELECT receipt_id, store_name, receipt_date, total_amount, NULL AS item_name, NULL::DOUBLE AS item_price
     FROM {_NEWEST} UNION ALL SELECT receipt_id, store_name, receipt_date, total_amount, item_name,
     total_price AS item_price FROM {_RITEMS})"""

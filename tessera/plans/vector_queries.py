@@ -40,7 +40,7 @@ def _first_as_query(spark, d) -> DataFrame:
 
 def v01_cosine(spark: SparkSession, d: str) -> DataFrame:
     """V1 over the whole table against its lowest-id vector."""
-    scored = V.scored_candidates(_emb(spark, d), _first_as_query(spark, d), max_queries=1)
+    scored = V.scored_candidates(_emb(spark, d), _first_as_query(spark, d))
     return scored.select("id", F.round("similarity", 6).alias("similarity"))
 
 
@@ -61,7 +61,7 @@ def v04_normalize(spark, d):
 
 
 def v05_skip_other_length(spark, d):
-    scored = V.scored_candidates(_truncated(spark, d), _first_as_query(spark, d), max_queries=1)
+    scored = V.scored_candidates(_truncated(spark, d), _first_as_query(spark, d))
     return scored.select("id", F.round("similarity", 6).alias("similarity"))
 
 

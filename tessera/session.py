@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _LOCAL_FALLBACK is None:
         _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.sparkContext.setCheckpointDir(_LOCAL_FALLBACK)

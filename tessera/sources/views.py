@@ -174,15 +174,17 @@ def questions_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stores_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existing store dimension: every even supplier, under a longer shop name."""
+    """Existing store dimension: every supplier, under a longer shop name; odd ones under a name of
+    their own, so that their receipts match no existing store."""
     t = Tables(spark, sf_dir)
     k = F.col("s_suppkey")
     kind = (F.when(k % 5 == 0, "Mini Mart").when(k % 5 == 1, "Coffee House").when(k % 5 == 2, "Book Store")
             .when(k % 5 == 3, "Tech Mobile").otherwise("Outlet"))
     cat = (F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 5 == 0, "Grocery").when(k % 5 == 1, "Restaurant")
            .when(k % 5 == 2, "Stationery").when(k % 5 == 3, "Electronics").otherwise("Other"))
-    return t.supplier.where(k % 2 == 0).select(
-        k.alias("id"), F.concat(F.lit("The "), F.col("s_name"), F.lit(" "), kind).alias("name"),
+    own = F.when(k % 2 == 0, F.col("s_name")).otherwise(F.concat(F.lit("Depot "), _s(k)))
+    return t.supplier.select(
+        k.alias("id"), F.concat(F.lit("The "), own, F.lit(" "), kind).alias("name"),
         F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Lot "), _s(k))).alias("address"),
         cat.alias("category"),
     )
@@ -194,10 +196,14 @@ def store_receipts_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     first_supp = t.lineitem.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("sk"))
     suffix = (F.when(k % 4 == 0, " Sdn Bhd").when(k % 4 == 1, " Pte Ltd").when(k % 4 == 2, " INC").otherwise(""))
+    # some names lie inside others, some have inner runs of spaces
+    name = (F.when(k % 16 == 3, F.concat(F.lit("Big "), F.col("s_name"), F.lit(" East")))
+            .when(k % 16 == 7, F.concat(F.lit("Plaza   "), F.col("s_name"))).when(k % 16 == 11, F.concat(F.lit("Plaza "), F.col("s_name")))
+            .otherwise(F.concat(F.col("s_name"), suffix)))
     return (
         t.orders.join(first_supp, F.col("l_orderkey") == k)
         .join(t.supplier, F.col("s_suppkey") == F.col("sk"))
-        .select(k.alias("receipt_id"), F.concat(F.col("s_name"), suffix).alias("store_name"),
+        .select(k.alias("receipt_id"), name.alias("store_name"),
                 F.when(k % 5 == 0, F.lit(None).cast("string"))
                 .otherwise(F.concat(F.lit("No "), _s(k % 100), F.lit(" Jalan Besar"))).alias("store_address"))
     )

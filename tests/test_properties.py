@@ -55,12 +55,30 @@ def test_search_skips_other_lengths_and_negatives(spark):
     assert res == [1, 2, 3]   # zero vector scores 0.0 (kept at min 0.0); other length and negative dropped
 
 
-def test_batched_search_equals_broadcast(spark):
+def test_search_is_the_same_for_any_number_of_blocks_and_queries(spark):
     e = spark.read.parquet(f"{SMALL}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
     queries = e.where(F.col("id") < 30).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
     a = V.search_many(e, queries, k=3)
-    b = V.search_many(e, queries, k=3, max_broadcast_queries=7, batched=True)
+    b = V.search_many(e, queries, k=3, blocks=1)
     assert T.differs(a, b).count() == 0
+    # more queries than the bound of the first round, which failed beyond it
+    many = spark.range(20_100).select(F.col("id").alias("query_id"), F.array(F.lit(1.0), F.col("id") % 7).alias("query_vector"))
+    few = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id long, embedding array<double>")
+    assert V.search_many(few, many, k=1).count() == 20_100
+
+
+def test_category_matrix_covers_unequal_lengths(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0], '{"category": "a"}'), (2, [1.0], '{"category": "b"}')],
+                              "id long, embedding array<double>, metadata string")
+    got = {(r[0], r[1]): r[2] for r in V.category_similarity_matrix(v).collect()}
+    assert got == {("a", "a"): 1.0, ("b", "b"): 1.0, ("a", "b"): None, ("b", "a"): None}
+
+
+def test_growth_trend_is_judged_before_rounding(spark):
+    for last, trend, rate in ((105_003, "growing", 5.0), (94_997, "declining", -5.0), (105_000, "stable", 5.0)):
+        df = spark.range(100_000 + last).select(F.when(F.col("id") < 100_000, F.lit("2019-01-01")).otherwise(F.lit("2020-01-01")).cast("date").alias("d"))
+        r = B.growth_metrics(df, "d").collect()[0]
+        assert (r["trend"], r["average_growth_rate"]) == (trend, rate)
 
 
 def test_checked_small_refuses_large_side(spark):

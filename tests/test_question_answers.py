@@ -17,14 +17,14 @@ def _brute(receipts, questions, spark):
         for rid, store, date, amount in receipts:
             if s["store_filter"] is not None and s["store_filter"].lower() not in store.lower():
                 continue
-            if s["op"] == "greater" and not amount > s["value"]:
+            if s["op"] == "greater" and not (amount is not None and amount > s["value"]):
                 continue
-            if s["op"] == "less" and not amount < s["value"]:
+            if s["op"] == "less" and not (amount is not None and amount < s["value"]):
                 continue
             rows.append((date, rid, store, amount))
         rows.sort(key=lambda t: (t[0], t[1]), reverse=True)
-        top = [t for t in rows[:100] if s["since"] is None or t[0] >= s["since"]]
-        paid = [t for t in top if t[3] != 0]
+        top = [t for t in rows if s["since"] is None or t[0] >= s["since"]]
+        paid = [t for t in top if t[3]]
         n = len({t[1] for t in top})
         spent = sum(t[3] for t in paid)
         out[qid] = ("NO_DATA" if n == 0 else s["intent"], n, round(spent, 4), len({t[2] for t in paid}))
@@ -34,10 +34,11 @@ def _brute(receipts, questions, spark):
 def test_answers_match_direct_pairing(spark):
     rnd = random.Random(7)
     stores = ["Alpha Mart", "Beta Mart", "Gamma Books", "Delta Cafe"]
+    stores.append("*")  # a store name that looks like a mark
     receipts = []
     for rid in range(600):
         date = dt.datetime(2001, 1, 1) + dt.timedelta(days=rnd.randint(0, 210))
-        amount = float(rnd.choice([0, 5, 10, 10, 20, 50, 99.5, 100, 250, 1000]))
+        amount = rnd.choice([None, 0.0, 5.0, 10.0, 10.0, 20.0, 50.0, 99.5, 100.0, 250.0, 1000.0])
         receipts.append((rid, rnd.choice(stores), date, amount))
     texts = ["How much have I spent?", "money spent at mart", "spent at beta mart yesterday",
              "total cost for the past 45 days", "receipts over $1000.50 in the past year", "hello"]
@@ -51,3 +52,12 @@ def test_answers_match_direct_pairing(spark):
     got = {r["question_id"]: (r["answer_kind"], r["total_receipts"], round(r["total_spent"], 4), r["unique_stores"])
            for r in QA.answer(rdf, qdf, AS_OF).collect()}
     assert got == _brute(receipts, questions, spark)
+
+
+def test_numbers_that_are_no_ascii_or_too_large_end_no_job(spark):
+    questions = ["last 99999999999 days", "last ٣٠ days", "last 2000000000 days", "spent over ٥٠", "last 30 days"]
+    q = spark.createDataFrame(list(enumerate(questions)), "question_id long, question string")
+    r = spark.createDataFrame([(1, "A", dt.datetime(2001, 7, 30), 60.0), (2, "B", dt.datetime(2000, 1, 1), 40.0)],
+                              "receipt_id long, store_name string, receipt_date timestamp_ntz, total_amount double")
+    got = {x["question_id"]: (x["total_receipts"], x["total_spent"]) for x in QA.answer(r, q, AS_OF).collect()}
+    assert got == {0: (0, 0.0), 1: (1, 60.0), 2: (0, 0.0), 3: (1, 60.0), 4: (1, 60.0)}
