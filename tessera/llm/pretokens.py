@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -28,9 +29,6 @@ DISPUTED = re.compile(
 _LETTER, _DIGIT, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", " \t-\r\x85\xa0"
 LATIN_SPLIT = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_SPACE}{_LETTER}{_DIGIT}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _BEYOND_LATIN = re.compile("[^\x00-\u024f]")
-# White space other than the space itself.
-_WHITE = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-
 
 def split_pretokens(text: str) -> list[str]:
     if text.isascii() or not _BEYOND_LATIN.search(text):
@@ -42,14 +40,17 @@ def _disputed(text: str) -> bool:
     return not text.isascii() and DISPUTED.search(text) is not None
 
 
-def _odd_space(text: str) -> bool:
-    """Whether a space lies beside other white space or at an end: it may not start a pre-token."""
-    if "  " in text or text[:1] == " " or text[-1:] == " ":
-        return True
-    return any(w in text and (f" {w}" in text or f"{w} " in text) for w in (_WHITE[:5] if text.isascii() else _WHITE))
+MAX_CACHED_LENGTH = 64
+
 
+def _byte_chars() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: 256 + k for k, b in enumerate(rest)}
 
-MAX_CACHED_LENGTH = 64
+
+_BYTE_CHARS = _byte_chars()
 
 
 class ByteBpe:
@@ -72,8 +73,8 @@ class ByteBpe:
         self.frequent = frequent or {}
         self.cache_entries = cache_entries
         self.counts: dict[str, int] = {}
-        self.pieces: dict[str, bytes] = {}  # of pre-tokens
-        self.runs: dict[str, bytes] = {}  # of runs after a space
+        self.pieces: dict[str, bytes] = {}
+        self.model = self.tok.model
 
     def _whole(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
@@ -107,8 +108,8 @@ class ByteBpe:
         counts = self.counts
         new = [p for p in set(miss) if p not in counts]
         long = {}
-        for p, ids in zip(new, self._encode(new)):
-            (counts if len(p) <= MAX_CACHED_LENGTH else long)[p] = len(ids)
+        for p in new:
+            (counts if len(p) <= MAX_CACHED_LENGTH else long)[p] = len(self._encode(p))
         return sum(counts[p] if p in counts else long[p] for p in miss)
 
     def ids(self, text: str) -> bytes:
@@ -119,46 +120,22 @@ class ByteBpe:
         for special, part in self._parts(text):
             if special:
                 out.append(self.special[part].to_bytes(4, "little"))
-            elif _odd_space(part):
+            else:
                 out.append(self._lookup(split_pretokens(part)))
-            else:  # every space starts a pre-token: look up runs between spaces
-                first, *rest = part.split(" ")
-                out.append(self._lookup(split_pretokens(first)))
-                out.append(self._lookup(rest, " ", self.runs))
         return b"".join(out)
 
-    def _encode(self, parts: list[str]) -> list[list[int]]:
-        """Each part's ids. Parts that start with a space and hold no other white space are encoded
-        in one call, joined: each space starts a pre-token there."""
-        out: list[list[int]] = [[]] * len(parts)
-        joined = [i for i, p in enumerate(parts) if len(p) > 1 and p[0] == " " and not p[1:2].isspace() and len(p.split()) == 1 and not p[-1].isspace()]
-        if len(joined) > 1:
-            e = self.tok.encode("".join([parts[i] for i in joined]), add_special_tokens=False)
-            ids, at, cuts = e.ids, 0, []
-            for i in joined:
-                cuts.append(e.char_to_token(at))
-                at += len(parts[i])
-            for i, start, stop in zip(joined, cuts, cuts[1:] + [len(ids)]):
-                out[i] = ids[start:stop]
-        else:
-            joined = []
-        rest = sorted(set(range(len(parts))) - set(joined))
-        if rest:
-            for i, e in zip(rest, self.tok.encode_batch([parts[i] for i in rest], add_special_tokens=False)):
-                out[i] = e.ids
-        return out
-
-    def _lookup(self, parts: list[str], prefix: str = "", known: dict[str, bytes] | None = None) -> bytes:
-        """Ids of pre-tokens, or, with ``prefix``, of runs that follow a single space."""
-        known = self.pieces if known is None else known
+    def _encode(self, pretoken: str) -> list[int]:
+        """One pre-token's ids from the library's merge model, which takes bytes written as characters."""
+        return [t.id for t in self.model.tokenize(pretoken.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS))]
+
+    def _lookup(self, parts: list[str]) -> bytes:
+        known = self.pieces
         if len(known) > self.cache_entries:
             known.clear()
         found = list(map(known.get, parts))
         if None not in found:
             return b"".join(found)
-        new = list({k for k, v in zip(parts, found) if v is None})
-        made = self._encode([prefix + k for k in new])
-        fresh = {k: np.asarray(ids, "<u4").tobytes() for k, ids in zip(new, made)}
+        fresh = {k: array("I", self._encode(k)).tobytes() for k in {k for k, v in zip(parts, found) if v is None}}
         known.update((k, v) for k, v in fresh.items() if len(k) <= MAX_CACHED_LENGTH)
         return b"".join(v if v is not None else fresh[k] for k, v in zip(parts, found))
 
