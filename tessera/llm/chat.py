@@ -20,7 +20,7 @@ from tessera.llm.shared import hex_sha256
 END = "\n</turn>\n"
 _ESCAPE, _UNESCAPE = r"(?<!\\)(\\*+(?:###|</turn>))", r"(?<!\\)\\(\\*+(?:###|</turn>))"
 # A turn's tokens: words and single signs, and this many for the template's marks.
-TOKEN = r"\w+|[^\w\s]"
+TOKEN = r"[0-9A-Za-z_]+|[^0-9A-Za-z_\x20\x09-\x0D]"
 OVERHEAD = 8
 
 

@@ -65,3 +65,26 @@ comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT vec_id, coalesce(deg.n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings LEFT JOIN deg ON deg.a = vec_id JOIN comp ON comp.a = vec_id
 """
+
+ORACLES["op9_chat_format"] = r"""
+WITH t0 AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+t1 AS (SELECT *, len(regexp_extract_all(text, '[0-9A-Za-z_]+|[^0-9A-Za-z_\x20\x09-\x0D]')) + 8 AS cost,
+              15 + length(role) + length(regexp_replace(text, '(\\*(?:###|</turn>))', '\\\1', 'g')) AS chars,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM t0),
+t2 AS (SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY n) AS stop FROM t1),
+t3 AS (SELECT *, stop - cost AS start, CAST(stop - cost AS BIGINT) // 512 AS cell FROM t2),
+t4 AS (SELECT *, stop > (cell + 1) * 512 AND sum(cost) OVER (PARTITION BY conv_id, cell ORDER BY n) > 512 AS alone FROM t3),
+span AS (SELECT conv_id, min(n) AS lead, sum(chars) AS chars FROM t4 GROUP BY conv_id, cell, alone),
+head AS (SELECT conv_id, role = 'system' AS is_system, chars FROM t3 WHERE n = 1),
+again AS (SELECT span.conv_id, span.lead, sum(p.chars) AS chars FROM span JOIN t3 l ON l.conv_id = span.conv_id AND l.n = span.lead
+          JOIN head ON head.conv_id = span.conv_id JOIN t3 p ON p.conv_id = span.conv_id AND p.n BETWEEN span.lead - 4 AND span.lead - 1
+          WHERE l.start - p.start <= 128 AND NOT (p.start = 0 AND head.is_system) GROUP BY ALL),
+made AS (SELECT span.conv_id, CAST(sum(span.chars + coalesce(again.chars, 0) + CASE WHEN head.is_system AND span.lead > 1 THEN head.chars ELSE 0 END)
+              AS BIGINT) AS formatted_chars
+         FROM span JOIN head USING (conv_id) LEFT JOIN again USING (conv_id, lead) GROUP BY span.conv_id)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
+FROM t3 JOIN made USING (conv_id) GROUP BY conv_id
+"""
