@@ -1,7 +1,8 @@
 """Data-quality aggregates (Q1–Q10), computed in one pass over the raw rows.
 
-Every metric is an aggregate expression; ``quality_summary`` puts them in one ``agg`` so
-the table is scanned once (partial aggregates per task, one tiny final merge).
+Every metric is an aggregate expression; ``quality_summary`` puts those of the raw rows in one
+``agg`` (partial aggregates per task, one tiny final merge). The valid rows need the
+deduplication, which reads the key, position and email columns again.
 """
 
 from __future__ import annotations
@@ -94,7 +95,7 @@ def quality_summary(raw: DataFrame, key="customer_id", order_col="idx") -> DataF
         nulls.alias("_nulls"),
         consistency_score(F.col("email"), F.col("phone_1")).alias("consistency_score"),
     )
-    valid = validated(raw, key, order_col).agg(
+    valid = validated(raw.select(key, order_col, "email"), key, order_col).agg(
         F.count_if(F.col("error").isNull()).alias("valid_rows"),
         F.count_if(F.col("error").isNotNull()).alias("invalid_rows"),
     )

@@ -11,18 +11,19 @@ from pyspark.sql import functions as F
 
 from tessera.functions import receipt_text as RT
 from tessera.operators.clean import strip_ws
+from tessera.operators.stores import create_missing
 
 
 def best_candidate(candidates: DataFrame, group_col: str, text_col: str = "text",
                    order_col: str = "candidate_no") -> DataFrame:
     """Per group the longest text after stripping, the first candidate on a tie.
 
-    ``max_by`` is a partial aggregate, so a group with a third of all candidates is reduced
-    on the map side first."""
+    Only length and number are aggregated (partially in the tasks, so a group with a third of all
+    candidates stays small); the winner's text is joined back by group and number."""
     key = F.struct(F.length(strip_ws(text_col)).alias("n"), (-F.col(order_col)).alias("neg"))
-    return candidates.groupBy(group_col).agg(
-        F.max_by(F.struct(F.col(order_col).alias(order_col), F.col(text_col).alias(text_col)), key).alias("best")
-    ).select(group_col, "best.*")
+    best = candidates.groupBy(F.col(group_col).alias("_group")).agg((-F.max(key)["neg"]).alias("_no"))
+    won = candidates.join(best, candidates[group_col].eqNullSafe(best["_group"]) & (candidates[order_col] == best["_no"]))
+    return won.select(group_col, order_col, text_col)
 
 
 def parse(texts: DataFrame, as_of: str, id_col: str = "doc_id", text_col: str = "raw_text",
@@ -51,9 +52,17 @@ def parse(texts: DataFrame, as_of: str, id_col: str = "doc_id", text_col: str =
     )
 
 
+def link_stores(parsed: DataFrame, stores: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S9 with D2/D3: (parsed receipts with ``store_id``, new stores). Only id, name and address go
+    through the resolution; the rest is joined back by id."""
+    linked, new = create_missing(parsed.select("receipt_id", "store_name", "store_address"), stores)
+    return parsed.join(linked.select("receipt_id", "store_id"), "receipt_id"), new
+
+
 def receipts_table(parsed: DataFrame) -> DataFrame:
-    """The receipts table (no items)."""
-    return parsed.select("receipt_id", "store_name", "store_address", "receipt_date", "total_amount",
+    """The receipts table (no items), with ``store_id`` once the receipts are linked."""
+    link = ["store_id"] if "store_id" in parsed.columns else []
+    return parsed.select("receipt_id", *link, "store_name", "store_address", "receipt_date", "total_amount",
                          "tax_amount", "discount_amount", "raw_text", F.lit(True).alias("is_processed"))
 
 
@@ -62,12 +71,12 @@ def items_table(parsed: DataFrame) -> DataFrame:
     return parsed.select("receipt_id", F.explode("items").alias("it")).select("receipt_id", "it.*")
 
 
-def write_tables(parsed: DataFrame, path: str) -> tuple[str, str]:
+def write_tables(parsed: DataFrame, path: str, stores: DataFrame | None = None) -> tuple[str, str]:
     """Write both tables as Parquet (overwrite is idempotent on a task or job retry). The texts are
     parsed once: the parsed rows are written first and both tables derived from them."""
     r, i = f"{path}/receipts", f"{path}/receipt_items"
     parsed.write.mode("overwrite").parquet(f"{path}/parsed")
     parsed = parsed.sparkSession.read.parquet(f"{path}/parsed")
-    receipts_table(parsed).write.mode("overwrite").parquet(r)
+    receipts_table(link_stores(parsed, stores)[0] if stores is not None else parsed).write.mode("overwrite").parquet(r)
     items_table(parsed).write.mode("overwrite").parquet(i)
     return r, i

@@ -228,3 +228,60 @@ def answer_lines(receipts: DataFrame) -> DataFrame:
                  F.lit(" (avg: "), money_text(F.col("avg_per_visit")), F.lit(")")).alias("line"),
     )
     return summary.unionByName(store_lines)
+
+
+def _numbered(lines: list[Column], frame: DataFrame) -> DataFrame:
+    rows = F.array(*[F.struct(F.lit(i).alias("line_no"), x.alias("line")) for i, x in enumerate(lines, 1)])
+    return frame.select(F.inline(rows)).where(F.col("line").isNotNull())
+
+
+# --- fixed values: the answers' wording ------------------------------------------------
+SUMMARY_TEXT = ("\u2022 **Total spent**: ", "\u2022 **Number of receipts**: ", "\u2022 **Average per receipt**: ", "\u2022 **Stores visited**: ",
+                "**Top store**: ", "**Period**: ")
+ITEM_TEXT = ("\u2022 ", " item")
+COMPARISON_TEXT = ("\u2022 Lowest receipt: ", "\u2022 Highest receipt: ", "\u2022 Average per receipt: ", " more** at ")
+
+
+def summary_lines(receipts: DataFrame) -> DataFrame:
+    """A21, summary questions: totals, the top store and the period, a line each; no line for what is missing."""
+    best = favourite_store(receipts).select(F.struct("store_name", "spent")).scalar()
+    span = date_span(receipts).select(F.struct(F.date_format("start", "yyyy-MM-dd").alias("s"), F.date_format("end", "yyyy-MM-dd").alias("e"))).scalar()
+    t = totals(receipts).withColumn("best", best).withColumn("span", span)
+    spent, n, average, stores, top, period = (F.lit(x) for x in SUMMARY_TEXT)
+    return _numbered([
+        F.concat(spent, money_text(F.col("total_spent"))), F.concat(n, F.col("total_receipts").cast("string")),
+        F.concat(average, money_text(F.col("average_per_receipt"))), F.concat(stores, F.col("unique_stores").cast("string")),
+        F.concat(top, F.col("best.store_name"), F.lit(" ("), money_text(F.col("best.spent")), F.lit(")")),
+        F.concat(period, F.col("span.s"), F.lit(" to "), F.col("span.e"))], t)
+
+
+def item_lines(items: DataFrame, n: int = 10) -> DataFrame:
+    """A21, item questions: the top items by spend, a line each."""
+    w = Window.orderBy(F.desc("spent"), F.asc("item_name"))  # at most n rows
+    return top_items(items, n).select(F.row_number().over(w).alias("line_no"),
+                                      F.concat(F.lit(ITEM_TEXT[0]), F.col("item_name"), F.lit(": "), money_text(F.col("spent"))).alias("line"))
+
+
+def timeline_lines(receipts: DataFrame, n: int = 10) -> DataFrame:
+    """A21, time questions: the latest days with spending, newest first, a line each."""
+    days = daily_spending(receipts)
+    day, amount = days.columns[:2]
+    newest_days = days.orderBy(F.desc(day)).limit(n)
+    w = Window.orderBy(F.desc(day))  # at most n rows
+    return newest_days.select(F.row_number().over(w).alias("line_no"), F.concat(
+        F.lit("\u2022 "), F.date_format(day, "MMMM dd, yyyy"), F.lit(": "), money_text(F.col(amount))).alias("line"))
+
+
+def comparison_lines(receipts: DataFrame) -> DataFrame:
+    """A21, comparison questions: lowest and highest receipt, the average, and how much more the first
+    store got than the second."""
+    low, high, average, more = COMPARISON_TEXT
+    paid = _paid(receipts).agg(F.min("total_amount").alias("lo"), F.max("total_amount").alias("hi"))
+    two = F.array_sort(F.collect_list(F.struct((-F.col("spent")).alias("neg"), "store_name")))  # two rows
+    best = top_stores(receipts, 2).agg(two.alias("b")).select("b").scalar()
+    t = totals(receipts).withColumn("range", paid.select(F.struct("lo", "hi")).scalar()).withColumn("b", best)
+    first, second = F.get(F.col("b"), 0), F.get(F.col("b"), 1)
+    return _numbered([
+        F.concat(F.lit(low), money_text(F.col("range.lo"))), F.concat(F.lit(high), money_text(F.col("range.hi"))),
+        F.concat(F.lit(average), money_text(F.col("average_per_receipt"))),
+        F.concat(F.lit("You spend **"), money_text(second["neg"] - first["neg"]), F.lit(more), first["store_name"], F.lit(" than at "), second["store_name"], F.lit("."))], t)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions import receipt_text as RT
 from tessera.operators import receipts as RC
 from tessera.operators.clean import strip_ws
+from tessera.plans.store_queries import STORE_LINKS, STORE_LOOP
 from tessera.session import shared_dir
 from tessera.sources import views
 from tessera.sources.tables import Tables
@@ -19,7 +20,7 @@ from tessera.sources.views import AS_OF
 
 
 def _parsed(spark, d):
-    return RC.parse(views.receipt_text_v(spark, d), AS_OF)
+    return RC.parse(views.receipt_text_v(spark, d), AS_OF, partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def r01_clean_lines(spark, d):
@@ -95,6 +96,14 @@ def r14_parse(spark, d):
         "discount_amount", F.size("items").alias("n_items"))
 
 
+def s09_linked_receipts(spark, d):
+    """The receipts half: text parsed once, stores found or created, receipts written with store_id."""
+    r_path, _ = RC.write_tables(_parsed(spark, d), shared_dir(spark, "receipts"), views.stores_v(spark, d))
+    return spark.read.parquet(r_path).select(
+        "receipt_id", "store_id", "store_name", "store_address", F.col("receipt_date").cast("date").alias("receipt_date"),
+        F.round("total_amount", 4).alias("total_amount"), F.round("tax_amount", 4).alias("tax_amount"), "discount_amount", "is_processed")
+
+
 def s09_write_receipts(spark, d):
     r_path, i_path = RC.write_tables(_parsed(spark, d), shared_dir(spark, "receipts"))
     items = spark.read.parquet(i_path)
@@ -179,7 +188,15 @@ ORACLES = {
         round(total_price, 4) AS total_price, category FROM {_ITEMS}""",
 }
 
+# the same loop as for D3, over the receipts of the text
+ORACLES["s09_linked_receipts"] = (STORE_LOOP + f"""SELECT t.receipt_id, f.store_id, t.store_name, t.store_address, p.receipt_date,
+    p.total_amount, p.tax_amount, 0.0::DOUBLE AS discount_amount, true AS is_processed
+    FROM store_receipts_v t JOIN {STORE_LINKS} f USING (receipt_id) JOIN (SELECT {_K} AS receipt_id, {_PARSED_DATE} AS receipt_date,
+      round(CAST({_TOTAL} AS DOUBLE), 4) AS total_amount, round(CAST({_K} % 3 + 0.3 AS DOUBLE), 4) AS tax_amount FROM orders) p
+    USING (receipt_id)""").replace("store_receipts_v", f"(SELECT {_K} AS receipt_id, {_STORE} AS store_name, {_ADDRESS} AS store_address FROM orders)")
+
 QUERIES = {
+    "s09_linked_receipts": s09_linked_receipts,
     "r01_clean_lines": r01_clean_lines,
     "r02_ocr_fix": r02_ocr_fix,
     "r03_best_candidate": r03_best_candidate,

@@ -140,6 +140,22 @@ def a21_answer_lines(spark, d):
     return A.answer_lines(_r(spark, d))
 
 
+def a21_summary_lines(spark, d):
+    return A.summary_lines(_r(spark, d))
+
+
+def a21_item_lines(spark, d):
+    return A.item_lines(_i(spark, d))
+
+
+def a21_timeline_lines(spark, d):
+    return A.timeline_lines(_r(spark, d))
+
+
+def a21_comparison_lines(spark, d):
+    return A.comparison_lines(_r(spark, d))
+
+
 # --- oracles ---------------------------------------------------------------------------
 
 _NEWEST = "(SELECT * FROM receipts_v ORDER BY receipt_date DESC, receipt_id DESC LIMIT 100)"
@@ -225,6 +241,28 @@ ORACLES = {
     "a19_receipts_page_2": _nested(
         "(SELECT * FROM receipts_v ORDER BY receipt_date DESC, receipt_id DESC LIMIT 50 OFFSET 100)"),
     "a20_one_receipt": _nested("(SELECT * FROM receipts_v WHERE receipt_id = 7)"),
+    "a21_summary_lines": f"""SELECT CAST(k AS INTEGER) AS line_no, CASE k
+          WHEN 1 THEN '\u2022 **Total spent**: ' || {_money('t.total_spent')}
+          WHEN 2 THEN '\u2022 **Number of receipts**: ' || CAST(t.total_receipts AS VARCHAR)
+          WHEN 3 THEN '\u2022 **Average per receipt**: ' || {_money('coalesce(t.total_spent / nullif(t.total_receipts, 0), 0.0)')}
+          WHEN 4 THEN '\u2022 **Stores visited**: ' || CAST(t.unique_stores AS VARCHAR)
+          WHEN 5 THEN (SELECT '**Top store**: ' || store_name || ' (' || {_money('spent')} || ')' FROM {_TOP5} ORDER BY spent DESC, store_name LIMIT 1)
+          ELSE (SELECT '**Period**: ' || strftime(min(receipt_date), '%Y-%m-%d') || ' to ' || strftime(max(receipt_date), '%Y-%m-%d') FROM receipts_v)
+          END AS line FROM {_TOTALS} t, generate_series(1, 6) g(k)""",
+    "a21_item_lines": f"""SELECT CAST(row_number() OVER (ORDER BY spent DESC, item_name) AS INTEGER) AS line_no,
+          '\u2022 ' || item_name || ': ' || {_money('spent')} AS line
+        FROM (SELECT item_name, sum(total_price) AS spent FROM items_v WHERE item_name <> '' AND total_price <> 0 GROUP BY 1
+              ORDER BY spent DESC, item_name LIMIT 10)""",
+    "a21_timeline_lines": f"""SELECT CAST(row_number() OVER (ORDER BY day DESC) AS INTEGER) AS line_no,
+          '\u2022 ' || strftime(day, '%B %d, %Y') || ': ' || {_money('amount')} AS line FROM (SELECT * FROM {_DAILY} ORDER BY day DESC LIMIT 10)""",
+    "a21_comparison_lines": f"""SELECT CAST(k AS INTEGER) AS line_no, CASE k
+          WHEN 1 THEN '\u2022 Lowest receipt: ' || (SELECT {_money('min(total_amount)')} FROM receipts_v WHERE receipt_id IS NOT NULL AND {_PAID})
+          WHEN 2 THEN '\u2022 Highest receipt: ' || (SELECT {_money('max(total_amount)')} FROM receipts_v WHERE receipt_id IS NOT NULL AND {_PAID})
+          WHEN 3 THEN '\u2022 Average per receipt: ' || {_money('coalesce(t.total_spent / nullif(t.total_receipts, 0), 0.0)')}
+          ELSE (SELECT 'You spend **' || {_money('a.spent - b.spent')} || ' more** at ' || a.store_name || ' than at ' || b.store_name || '.'
+                FROM (SELECT *, row_number() OVER (ORDER BY spent DESC, store_name) AS rn FROM {_TOP5}) a,
+                     (SELECT *, row_number() OVER (ORDER BY spent DESC, store_name) AS rn FROM {_TOP5}) b WHERE a.rn = 1 AND b.rn = 2)
+          END AS line FROM {_TOTALS} t, generate_series(1, 4) g(k)""",
     "a21_answer_lines": f"""SELECT 0 AS line_no, 'Based on ' || CAST(t.total_receipts AS VARCHAR) || ' receipt'
         || CASE WHEN t.total_receipts <> 1 THEN 's' ELSE '' END || ', you''ve spent **' || {_money('t.total_spent')}
         || '**' || CASE WHEN s.s IS NULL THEN '' WHEN s.s <> s.e THEN ' from ' || s.s || ' to ' || s.e
@@ -263,4 +301,8 @@ QUERIES = {
     "a19_receipts_page_2": a19_receipts_page_2,
     "a20_one_receipt": a20_one_receipt,
     "a21_answer_lines": a21_answer_lines,
+    "a21_summary_lines": a21_summary_lines,
+    "a21_item_lines": a21_item_lines,
+    "a21_timeline_lines": a21_timeline_lines,
+    "a21_comparison_lines": a21_comparison_lines,
 }

@@ -104,6 +104,7 @@ _BACKFILLED = f"""(SELECT s.id, s.name, s.category, CASE WHEN s.address IS NULL
 _FINAL = f"(SELECT id, name, address, category FROM {_BACKFILLED} UNION ALL SELECT id, name, address, category FROM {_NEW})"
 
 _WITH = f"WITH RECURSIVE {_LOOP}\n"
+STORE_LOOP, STORE_LINKS = _WITH, _FINAL_RECEIPTS  # for the receipts of other sources
 
 ORACLES = {
     "d01_normalize": f"SELECT receipt_id, norm FROM {_R}",

@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators.clean import strip_ws
+from tessera.plans.profile_queries import CUSTOMER_COLUMNS
 from tessera.session import shared_dir
+from tessera.sources import views
 from tessera.streaming import incremental as T
 
 
@@ -64,10 +67,98 @@ def t06_stream_equals_batch(spark, d):
     return spark.read.parquet(path)
 
 
+CHUNKS = 5  # files the customers arrive in
+
+
+def _customers(spark, d, columns=CUSTOMER_COLUMNS):
+    """The customers as a stream of files by position: repeated ids and bad rows within and across them."""
+    c = views.customers_v(spark, d)
+    c = c.withColumn("chunk", F.pmod(F.floor(F.col("idx") / 7), F.lit(CHUNKS)).cast("int"))
+    folder = shared_dir(spark, "customer_chunks")
+    c.repartition("chunk").write.partitionBy("chunk").parquet(folder)
+    return T.file_stream(spark, folder, c.schema).select(*columns)
+
+
+def _customer_counts(spark, d):
+    counts = T.customer_counters(_customers(spark, d)).groupBy("counter", "value").agg(F.count(F.lit(1)).alias("count"))
+    return spark.read.parquet(T.run_to_table(counts, shared_dir(spark, "t01c"), "complete", "t01c"))
+
+
+def _customer_flags(spark, d):
+    flags = T.running_nulls(_customers(spark, d), "phone_1")
+    return spark.read.parquet(T.run_to_table(flags, shared_dir(spark, "t02c"), "complete", "t02c"))
+
+
+def _customer_ids(spark, d):
+    ids = T.running_distinct(_customers(spark, d, ["customer_id"]), "customer_id")
+    return spark.read.parquet(T.run_to_table(ids, shared_dir(spark, "t03c"), "complete", "t03c"))
+
+
+def t01_customer_counters(spark, d):
+    return _customer_counts(spark, d)
+
+
+def t02_customer_flags(spark, d):
+    return _customer_flags(spark, d)
+
+
+def t03_distinct_customers(spark, d):
+    return _customer_ids(spark, d)
+
+
+def t04_customer_batches(spark, d):
+    """Per micro-batch (file): rows, valid and failed rows after keeping the batch's first row of each id."""
+    valid = F.coalesce((strip_ws("customer_id") != "") & F.col("email").contains("@"), F.lit(False))
+    path = T.per_batch_validation(_customers(spark, d), shared_dir(spark, "t04c"), "customer_id", "idx", valid, "t04c")
+    return T.totals_from_batches(spark, path)
+
+
+def t05_accumulated_report(spark, d):
+    return T.accumulated_report(_customer_counts(spark, d), _customer_flags(spark, d), _customer_ids(spark, d), len(CUSTOMER_COLUMNS))
+
+
 _NULLS = ", ".join(f"count(*) - count({c}) AS null_{c}" for c in
                    ["event_id", "ts", "user_id", "event_type", "value", "props"])
 
+_DAY = "CAST(try_strptime(subscription_date, '%Y-%m-%d') AS DATE)"
+_COUNTED = {
+    "countries": "country", "companies": "company", "email_domains": "nullif(split_part(lower(email), '@', 2), '')",
+    "years": f"CAST(year({_DAY}) AS VARCHAR)", "months": f"strftime({_DAY}, '%Y-%m')",
+    "seasons": f"CASE WHEN month({_DAY}) IN (12, 1, 2) THEN 'Winter' WHEN month({_DAY}) IN (3, 4, 5) THEN 'Spring' "
+               f"WHEN month({_DAY}) IN (6, 7, 8) THEN 'Summer' WHEN month({_DAY}) IN (9, 10, 11) THEN 'Fall' END",
+    "website_domains": "nullif(regexp_extract(website, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1), '')",
+}
+_COUNTERS = " UNION ALL ".join(
+    f"SELECT '{k}' AS counter, {v} AS value, count(*) AS count FROM customers_v WHERE {v} IS NOT NULL GROUP BY 2" for k, v in _COUNTED.items())
+_CNULLS = ", ".join(f"count(*) - count({c}) AS null_{c}" for c in CUSTOMER_COLUMNS)
+_FLAGS = f"""SELECT count(*) AS total_rows, {_CNULLS}, count(phone_1) AS phones_total,
+    count(*) FILTER (WHERE starts_with(phone_1, '+')) AS phones_international,
+    count(*) FILTER (WHERE contains(phone_1, 'x')) AS phones_extensions FROM customers_v"""
+_MISSING = " + ".join(f"null_{c}" for c in CUSTOMER_COLUMNS)
+_REPORT_ROWS = {
+    ("quality", "total_rows"): "total_rows", ("quality", "missing_values"): _MISSING, ("quality", "duplicate_count"): "total_rows - ids",
+    ("quality", "unique_customers"): "ids",
+    ("quality", "completeness_score"): f"round((total_rows * {len(CUSTOMER_COLUMNS)} - ({_MISSING})) * 100.0 / (total_rows * {len(CUSTOMER_COLUMNS)}), 4)",
+    **{("phone_patterns", c): f"phones_{c}" for c in ("total", "international", "extensions")},
+    **{("missing_values", c): f"null_{c}" for c in CUSTOMER_COLUMNS},
+}
+_REPORT = f"""WITH c AS ({_COUNTERS}), f AS (SELECT *, (SELECT count(DISTINCT customer_id) FROM customers_v) AS ids FROM ({_FLAGS})),
+    r AS (SELECT *, row_number() OVER (PARTITION BY counter ORDER BY count DESC, value) AS rn FROM c)
+    SELECT counter AS section, value AS name, CAST(count AS DOUBLE) AS value FROM r WHERE rn <= CASE counter WHEN 'countries' THEN 15
+      WHEN 'companies' THEN 15 WHEN 'email_domains' THEN 15 WHEN 'website_domains' THEN 10 WHEN 'months' THEN 12 ELSE 1000000 END
+    UNION ALL """ + " UNION ALL ".join(f"SELECT '{a}', '{b}', CAST({v} AS DOUBLE) FROM f" for (a, b), v in _REPORT_ROWS.items())
+_BATCHES = f"""SELECT CAST((SELECT count(*) FROM customers_v) AS BIGINT) AS rows_in,
+    count(*) FILTER (WHERE ok) AS processed, count(*) FILTER (WHERE NOT ok) AS failed, count(DISTINCT chunk) AS batches
+    FROM (SELECT chunk, coalesce(trim(customer_id) <> '' AND contains(email, '@'), false) AS ok
+          FROM (SELECT *, row_number() OVER (PARTITION BY chunk, customer_id ORDER BY idx) AS rn
+                FROM (SELECT *, CAST(idx // 7 AS BIGINT) % {CHUNKS} AS chunk FROM customers_v)) WHERE rn = 1)"""
+
 ORACLES = {
+    "t01_customer_counters": _COUNTERS,
+    "t02_customer_flags": _FLAGS,
+    "t03_distinct_customers": "SELECT count(DISTINCT customer_id) AS distinct_keys FROM customers_v",
+    "t04_customer_batches": _BATCHES,
+    "t05_accumulated_report": _REPORT,
     "s02_incremental_scan": "SELECT event_id, user_id, event_type FROM events",
     "t01_running_counts": "SELECT event_type, count(*) AS count FROM events WHERE event_type IS NOT NULL GROUP BY 1",
     "t02_running_nulls": f"SELECT count(*) AS total_rows, {_NULLS} FROM events",
@@ -85,6 +176,11 @@ ORACLES = {
 }
 
 QUERIES = {
+    "t01_customer_counters": t01_customer_counters,
+    "t02_customer_flags": t02_customer_flags,
+    "t03_distinct_customers": t03_distinct_customers,
+    "t04_customer_batches": t04_customer_batches,
+    "t05_accumulated_report": t05_accumulated_report,
     "s02_incremental_scan": s02_incremental_scan,
     "t01_running_counts": t01_running_counts,
     "t02_running_nulls": t02_running_nulls,

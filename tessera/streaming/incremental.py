@@ -9,10 +9,12 @@ and stops, so the same code serves a backfill and a scheduled incremental run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.operators.clean import first_per_key, parse_date
+from tessera.operators.profile import email_domain, season_of, url_host
 from tessera.session import shared_dir
 
 
@@ -24,6 +26,11 @@ def event_stream(spark: SparkSession, folder: str, file_name: str = "events.parq
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder))
 
 
+def file_stream(spark: SparkSession, folder: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
+    """A file stream over Parquet files that arrive in ``folder``."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder)
+
+
 def _run(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -54,10 +61,28 @@ def running_counts(stream: DataFrame, key: str) -> DataFrame:
     return stream.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("count"))
 
 
-def running_nulls(stream: DataFrame) -> DataFrame:
-    """Running row count, null count per column, and pattern flags, as one global aggregate."""
+def customer_counters(customers: DataFrame) -> DataFrame:
+    """(counter, value) pairs of the accumulated report: countries, companies, e-mail domains, years,
+    months, seasons and website hosts; what is missing gives no pair."""
+    day = parse_date("subscription_date")
+    values = {
+        "countries": F.col("country"), "companies": F.col("company"), "email_domains": email_domain(F.col("email")),
+        "years": F.year(day).cast("string"), "months": F.date_format(day, "yyyy-MM"),
+        "seasons": F.when(day.isNotNull(), season_of(F.month(day))), "website_domains": url_host(F.col("website")),
+    }
+    pairs = F.array(*[F.struct(F.lit(k).alias("counter"), v.alias("value")) for k, v in values.items()])
+    return customers.select(F.inline(pairs)).where(F.col("value").isNotNull())
+
+
+def running_nulls(stream: DataFrame, phone_col: str | None = None) -> DataFrame:
+    """Running row count and null count per column, and with ``phone_col`` the pattern flags of the
+    phones (all, international, with extension), as one global aggregate."""
     aggs = [F.count(F.lit(1)).alias("total_rows")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in stream.columns]
+    if phone_col:
+        p = F.col(phone_col)
+        aggs += [F.count(p).alias("phones_total"), F.count_if(p.rlike(r"^\+")).alias("phones_international"),
+                 F.count_if(p.contains("x")).alias("phones_extensions")]
     return stream.agg(*aggs)
 
 
@@ -78,8 +103,7 @@ def per_batch_validation(stream: DataFrame, out_path: str, key: str, order_col:
     ckpt = shared_dir(spark, f"stream-ckpt-{name}")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        firsts = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]),
-                                              F.col(order_col)).alias("r")).select("r.*")
+        firsts = first_per_key(df, key, order_col)
         rows_in = df.select(F.count(F.lit(1))).scalar()
         counts = firsts.agg(F.count_if(valid).alias("processed"), F.count_if(~valid).alias("failed")).select(
             rows_in.alias("rows_in"), "processed", "failed")
@@ -104,6 +128,31 @@ def top_from_state(counts: DataFrame, key: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc("count"), F.asc(key)).limit(n)
 
 
+def accumulated_report(counts: DataFrame, flags: DataFrame, distinct: DataFrame, n_columns: int) -> DataFrame:
+    """T5: the report over the accumulated state, one row a figure: (section, name, value).
+
+    ``counts``: (counter, value, count) of T1; ``flags``: the row of T2; ``distinct``: the row of T3.
+    The most frequent 15 countries, companies and e-mail domains, 10 website hosts and 12 months;
+    all years and seasons (ties by value); phone patterns; the quality figures.
+    """
+    shown = {"countries": 15, "companies": 15, "email_domains": 15, "website_domains": 10, "months": 12}
+    w = Window.partitionBy("counter").orderBy(F.desc("count"), F.asc("value"))
+    limit = F.coalesce(F.create_map(*[F.lit(x) for kv in shown.items() for x in kv])[F.col("counter")], F.lit(1 << 30))
+    top = counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit).select(
+        F.col("counter").alias("section"), F.col("value").alias("name"), F.col("count").cast("double").alias("value"))
+    f = flags.withColumn("distinct_keys", distinct.select("distinct_keys").scalar())
+    missing = sum((F.col(c) for c in flags.columns if c.startswith("null_")), F.lit(0))
+    cells = F.col("total_rows") * n_columns
+    figures = {("quality", "total_rows"): F.col("total_rows"), ("quality", "missing_values"): missing,
+               ("quality", "duplicate_count"): F.col("total_rows") - F.col("distinct_keys"),
+               ("quality", "unique_customers"): F.col("distinct_keys"),
+               ("quality", "completeness_score"): F.round(F.try_divide((cells - missing) * 100.0, cells), 4)}
+    figures |= {("phone_patterns", c[7:]): F.col(c) for c in flags.columns if c.startswith("phones_")}
+    figures |= {("missing_values", c[5:]): F.col(c) for c in flags.columns if c.startswith("null_")}
+    rows = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).alias("name"), v.cast("double").alias("value")) for (s, n), v in figures.items()])
+    return top.unionByName(f.select(F.inline(rows)))
+
+
 def differs(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows in one result and not the other, both ways (empty when equal)."""
     return a.exceptAll(b).unionByName(b.exceptAll(a))
