@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.patterns import INDUSTRY_SEGMENTS, PERSONAL_EMAIL_DOMAINS, SEASONS
-from tessera.operators.bounded import prefix_sums
+
+QUARTILES = (0.25, 0.5, 0.75)
+BRACKET_ACCURACY = 10_000
 
 
 def _total(df: DataFrame) -> Column:
@@ -207,9 +209,9 @@ def contact_completeness(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max per column.
 
-    ``exact``: quartiles from global positions in a distributed sort (range shuffle +
-    per-partition offsets), so no task ever holds a whole column. ``exact=False`` uses
-    ``percentile_approx``.
+    ``exact``: quartiles by rank, from a sketch's brackets and a second scan that keeps about
+    4 / BRACKET_ACCURACY of the values; nothing else is shuffled. ``exact=False`` uses
+    ``percentile_approx`` alone.
     """
     stacked = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
     long = df.selectExpr(f"stack({len(columns)}, {stacked}) AS (column_name, value)").where("value IS NOT NULL")
@@ -223,29 +225,33 @@ def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame
         quart = q.select("column_name", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
                          F.col("q")[2].alias("p75"))
         return stats.join(quart, "column_name")
-    # exact quartiles from positions: count each distinct value (pre-aggregated map-side),
-    # prefix sums of the counts in (column, value) order, then pick the values covering
-    # positions floor/ceil((n - 1) p) and interpolate linearly
-    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = prefix_sums(counts, ["column_name", "value"], "_cnt", "_gbefore")
-    col = cum.groupBy("column_name").agg(F.min("_gbefore").alias("_cstart"), F.sum("_cnt").alias("_n"))
-    pos = cum.join(col, "column_name").withColumn(
-        "_b", F.col("_gbefore") - F.col("_cstart"))
-    covers = {}
-    hit = None
-    for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
-        h = (F.col("_n") - 1) * p
-        lo, hi = F.floor(h), F.ceil(h)
-        in_lo = (F.col("_b") <= lo) & (lo < F.col("_b") + F.col("_cnt"))
-        in_hi = (F.col("_b") <= hi) & (hi < F.col("_b") + F.col("_cnt"))
-        covers[name] = (in_lo, in_hi, h - lo)
-        hit = (in_lo | in_hi) if hit is None else (hit | in_lo | in_hi)
-    aggs = []
-    for name, (in_lo, in_hi, frac) in covers.items():
-        lo_v = F.max(F.when(in_lo, F.col("value")))
-        hi_v = F.max(F.when(in_hi, F.col("value")))
-        aggs.append((lo_v + (hi_v - lo_v) * F.first(frac)).alias(name))
-    quart = pos.where(hit).groupBy("column_name").agg(*aggs)
+    # exact quartiles in two scans: a sketch gives each quartile a bracket of values (its rank error is
+    # 1 / accuracy, the bracket twice as wide); the second scan counts what lies below the bracket and
+    # keeps only the values inside it and the nearest ones outside. Rows of the bracket table: the columns given.
+    width = 2.0 / BRACKET_ACCURACY
+    probs = [x for p in QUARTILES for x in (p - width, p + width)]
+    marks = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("value", probs, BRACKET_ACCURACY).alias("_m"))
+    cases = F.array(*[F.struct(F.lit(p).alias("p"), F.col("_m")[2 * i].alias("lo"), F.col("_m")[2 * i + 1].alias("hi"))
+                      for i, p in enumerate(QUARTILES)])
+    held = long.join(F.broadcast(marks.select("column_name", "_n", cases.alias("_cases"))), "column_name").select(
+        "column_name", "value", "_n", F.inline("_cases"))
+    v = F.col("value")
+    around = held.groupBy("column_name", "p", "_n").agg(
+        F.count_if(v < F.col("lo")).alias("_below"), F.count_if((v >= F.col("lo")) & (v <= F.col("hi"))).alias("_in"),
+        F.max(F.when(v < F.col("lo"), v)).alias("_prev"), F.min(F.when(v > F.col("hi"), v)).alias("_next"))
+    inside = held.where((v >= F.col("lo")) & (v <= F.col("hi"))).groupBy("column_name", "p", "value").agg(F.count(F.lit(1)).alias("_cnt"))
+    run = inside.withColumn("_b", F.sum("_cnt").over(Window.partitionBy("column_name", "p").orderBy("value")) - F.col("_cnt"))
+    pos = run.join(F.broadcast(around), ["column_name", "p"])  # a row a column and quartile
+    h = (F.col("_n") - 1) * F.col("p")
+
+    def at(rank: Column) -> Column:
+        r = rank - F.col("_below")
+        found = F.max(F.when((F.col("_b") <= r) & (r < F.col("_b") + F.col("_cnt")), F.col("value")))
+        return F.when(F.first(r) < 0, F.first("_prev")).when(F.first(r) >= F.first("_in"), F.first("_next")).otherwise(found)
+
+    low, high = at(F.floor(h)), at(F.ceil(h))
+    each = pos.groupBy("column_name", "p").agg((low + (high - low) * (F.first(h) - F.floor(F.first(h)))).alias("q"))
+    quart = each.groupBy("column_name").agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for n, p in zip(("p25", "p50", "p75"), QUARTILES)])
     return stats.join(quart, "column_name")
 
 

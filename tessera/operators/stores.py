@@ -71,22 +71,38 @@ def _grams(text: Column, n: Column) -> Column:
 
 
 def contains_match(stores: DataFrame, names: DataFrame, store_id="id", store_name="name",
-                   norm_col="norm") -> DataFrame:
-    """(norm, id) for every store whose lower-cased name contains ``norm`` (non-blank)."""
+                   norm_col="norm", lowest: bool = False) -> DataFrame:
+    """(norm, id) for every store whose lower-cased name contains ``norm`` (non-blank), or with ``lowest``
+    for the lowest id alone.
+
+    A name of up to GRAM characters is a gram itself: its stores are its posting list, and
+    ``lowest`` needs one id a gram. Grams shorter than GRAM are posted only if such names exist.
+    """
     low = stores.select(F.col(store_id).alias("_sid"), F.lower(F.col(store_name)).alias("_low"))
-    posting = low.select("_sid", "_low", F.explode(F.array_distinct(F.concat(
-        _grams(F.col("_low"), F.lit(1)), _grams(F.col("_low"), F.lit(2)), _grams(F.col("_low"), F.lit(GRAM))
-    ))).alias("gram")).where(F.length("gram") > 0)
-    freq = posting.groupBy("gram").agg(F.count(F.lit(1)).alias("_df"))
-    n = F.least(F.length(norm_col), F.lit(GRAM))
     wanted = names.select(norm_col).where(F.col(norm_col) != "").distinct()
-    grams = wanted.select(norm_col, F.explode(F.array_distinct(_grams(F.col(norm_col), n))).alias("gram"))
-    # the rarest gram of each name; a gram absent from every store means no match at all
-    scored = grams.join(freq, "gram", "left").withColumn("_df", F.coalesce("_df", F.lit(0)))
-    pick = scored.groupBy(norm_col).agg(F.min_by("gram", F.struct("_df", "gram")).alias("gram"),
-                                        F.min("_df").alias("_min_df")).where(F.col("_min_df") > 0)
-    cand = pick.join(posting, "gram")
-    return cand.where(F.col("_low").contains(F.col(norm_col))).select(norm_col, F.col("_sid").alias(store_id))
+    lengths = sorted(r["n"] for r in wanted.select(F.least(F.length(norm_col), F.lit(GRAM)).alias("n")).distinct().collect())  # of 1..GRAM
+
+    def posting(n: int) -> DataFrame:
+        grams = F.explode(F.array_distinct(_grams(F.col("_low"), F.lit(n))))
+        return low.select("_sid", "_low", grams.alias("gram")).where(F.length("gram") == n)
+
+    out = None
+    for n in lengths or [GRAM]:
+        if n < GRAM:
+            part = wanted.where(F.length(norm_col) == n).join(posting(n).select(F.col("gram").alias(norm_col), "_sid"), norm_col)
+        else:
+            long = wanted.where(F.length(norm_col) >= GRAM)
+            post = posting(GRAM)
+            freq = post.groupBy("gram").agg(F.count(F.lit(1)).alias("_df"))
+            grams = long.select(norm_col, F.explode(F.array_distinct(_grams(F.col(norm_col), F.lit(GRAM)))).alias("gram"))
+            # the rarest gram of each name; a gram absent from every store means no match at all
+            scored = grams.join(freq, "gram", "left").withColumn("_df", F.coalesce("_df", F.lit(0)))
+            pick = scored.groupBy(norm_col).agg(F.min_by("gram", F.struct("_df", "gram")).alias("gram"),
+                                                F.min("_df").alias("_min_df")).where(F.col("_min_df") > 0)
+            part = pick.join(post, "gram").where(F.col("_low").contains(F.col(norm_col)))
+        part = part.groupBy(norm_col).agg(F.min("_sid").alias(store_id)) if lowest else part.select(norm_col, F.col("_sid").alias(store_id))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def match_existing(receipts: DataFrame, stores: DataFrame) -> DataFrame:
@@ -96,7 +112,7 @@ def match_existing(receipts: DataFrame, stores: DataFrame) -> DataFrame:
     name → (norm, store id) map is joined back to the receipts (null-safe on the name).
     """
     names = receipts.select("store_name").distinct().withColumn("norm", normalize_name("store_name"))
-    hits = contains_match(stores, names).groupBy("norm").agg(F.min("id").alias("store_id"))
+    hits = contains_match(stores, names, lowest=True).withColumnRenamed("id", "store_id")
     name_map = names.join(hits, "norm", "left").withColumnRenamed("store_name", "_name")
     joined = receipts.join(name_map, receipts["store_name"].eqNullSafe(name_map["_name"]), "left")
     return joined.drop("_name")
