@@ -33,8 +33,13 @@ def _valid(vec):
     return v.isNotNull() & finite & F.exists(v, lambda x: x != 0)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, so that squares neither overflow nor vanish; no digit is lost."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
+    x = _scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -182,7 +187,7 @@ def _compare(same: DataFrame, dim: int, least: float, tile_rows: int, levels: tu
         def side(t):
             r = pdf[pdf["tile"] == t].iloc[0]
             raw = np.frombuffer(r["vectors"], "<f8").reshape(-1, dim)
-            return np.frombuffer(r["nodes"], "<i8"), np.frombuffer(r["weights"], "<i8"), raw, _unit(raw) @ axes
+            return np.frombuffer(r["nodes"], "<i8"), np.frombuffer(r["weights"], "<i8"), _scaled(raw), _unit(raw) @ axes
 
         na, wa, ra, a = side(key[0])
         nb, wb, rb, b = (na, wa, ra, a) if key[0] == key[1] else side(key[1])
