@@ -1,8 +1,4 @@
-"""Size-checked small sides and distributed dense numbering.
-
-``checked_small`` is how every broadcast in the library is guarded: the side is cut to
-``max_rows + 1`` rows and the plan fails at run time if the extra row exists, so a side
-that outgrows its bound raises instead of being silently truncated or broadcast whole.
+"""Distributed dense numbering.
 
 ``dense_ids`` numbers rows 1..n in a key order without a single-partition window: a
 range shuffle, a per-partition position, and per-partition offsets computed over a table
@@ -17,27 +13,6 @@ from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
-
-
-class TooLarge(ValueError):
-    pass
-
-
-def checked_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, what: str = "side") -> DataFrame:
-    """``df`` guaranteed to hold at most ``max_rows`` rows, checked lazily inside the plan."""
-    capped = df.limit(max_rows + 1)
-    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    msg = f"{what} exceeds {max_rows} rows; use the shuffle path"
-    return capped.withColumn("_n_checked", n).where(
-        F.when(F.col("_n_checked") > max_rows, F.raise_error(F.lit(msg)).cast("boolean")).otherwise(F.lit(True))
-    ).drop("_n_checked")
-
-
-def count_at_most(df: DataFrame, max_rows: int) -> int:
-    """Exact count if it is <= max_rows, else max_rows + 1 (reads at most max_rows + 1 rows)."""
-    return df.limit(max_rows + 1).count()
-
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", offset=None,
               num_partitions: int | None = None) -> DataFrame:
@@ -72,29 +47,3 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", of
     else:
         out = out.withColumn(id_col, F.lit(offset) + base)
     return out.drop("_mid", "_pid", "_pos", "_start")
-
-
-def prefix_sums(df: DataFrame, order_cols: list[str], weight_col: str, out_col: str = "before",
-                num_partitions: int | None = None) -> DataFrame:
-    """``out_col`` = sum of ``weight_col`` over all rows strictly earlier in ``order_cols`` order.
-
-    Same layout as ``dense_ids``: a checkpointed range partitioning, per-partition totals
-    (one row per partition) turned into offsets, and a running sum inside each partition.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(parts, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-    )
-    per_part = ranged.groupBy("_pid").agg(F.sum(weight_col).alias("_w"))
-    w_parts = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_part.select("_pid", F.coalesce(F.sum("_w").over(w_parts), F.lit(0)).alias("_start"))
-    w_local = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum(weight_col).over(w_local), F.lit(0)))
-    out = local.join(starts, "_pid")
-    return out.withColumn(out_col, F.col("_start") + F.col("_local")).drop("_mid", "_pid", "_start", "_local")

@@ -81,13 +81,6 @@ def test_growth_trend_is_judged_before_rounding(spark):
         assert (r["trend"], r["average_growth_rate"]) == (trend, rate)
 
 
-def test_checked_small_refuses_large_side(spark):
-    df = spark.range(20)
-    assert bounded.checked_small(df, 20).count() == 20
-    with pytest.raises(Exception):
-        bounded.checked_small(df, 5).collect()
-
-
 def test_dense_ids_are_dense_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
     out = bounded.dense_ids(df, ["k"], "n", offset=10).collect()
