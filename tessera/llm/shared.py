@@ -25,10 +25,14 @@ _BASE = 0x9E3779B97F4A7C15 | 1  # odd multiplier of the polynomial k-gram hash
 
 
 _SHIPPED: set[str] = set()
+ARROW_ROWS = 1_000
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Gives the executors' Python this package (as ``--py-files`` would), once per application."""
+    """Gives the executors' Python this package (as ``--py-files`` would), once per application, and bounds
+    the rows of an Arrow batch, as whole texts are exchanged."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # the default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -59,9 +63,9 @@ def total_bytes(docs: DataFrame, text_col: str = "text") -> int:
 
 
 def bins_for(spark: SparkSession, n_bytes: int, bytes_per_bin: int) -> int:
-    """Bins that keep each bin near ``bytes_per_bin`` whatever the input size; at least four for
-    each shuffle partition, so that hashing bins to partitions stays even."""
-    return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // bytes_per_bin))
+    """Bins that keep each bin near ``bytes_per_bin`` whatever the input size, and one at least for each
+    shuffle partition. No more than that: what goes from bins to other bins has a row a pair."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // bytes_per_bin))
 
 
 def split_words(text: str | None, lower: bool = False) -> list[bytes]:
@@ -111,9 +115,9 @@ def component_labels(edges: DataFrame, purpose: str = "components") -> DataFrame
     """Connected components of undirected ``edges`` (a, b): rows (node, component), the
     component being its smallest node. Nodes without an edge to another node are absent.
 
-    Contraction in rounds: every node merges with the neighbour of smallest random rank
-    (or itself), edges are renamed to what their ends merged into, loops fall away. A path
-    or a star shrinks by a constant factor a round. All tables stay distributed; each
+    Contraction in rounds: every node merges with the node of smallest random rank within two
+    steps, edges are renamed to what their ends merged into, loops fall away. A star is done
+    in one round, a path shrinks by a constant factor. All tables stay distributed; each
     round's tables are written to the shared folder. Group sums are map-side combined, and
     the joins of a hot centre are splittable (one side has one row a key).
     """
@@ -122,9 +126,10 @@ def component_labels(edges: DataFrame, purpose: str = "components") -> DataFrame
     labels = None
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = both.groupBy(F.col("a").alias("node")).agg(F.min(rank("b")).alias("low")).select(
-            "node", F.least(F.col("low"), rank("node"))["n"].alias("parent"))
-        parent = written(parent, purpose)
+        near = both.groupBy("a").agg(F.min(rank("b")).alias("low")).select(F.col("a").alias("b"), F.least(F.col("low"), rank("a")).alias("low"))
+        # the least of the neighbours' least: it is never above a node's own
+        parent = both.join(near, "b").groupBy(F.col("a").alias("node")).agg(F.min("low").alias("low"))
+        parent = written(parent.select("node", F.col("low.n").alias("parent")), purpose)
         if labels is None:
             labels = parent.select("node", F.col("parent").alias("root"))
         else:
