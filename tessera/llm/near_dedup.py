@@ -9,8 +9,9 @@ jointly by the likelihood of how many registers are larger, smaller and equal, g
 set sizes; pairs that the likelihood doesn't rule out are verified on their full sets.
 
 Copies (equal sets) are one node. In each band bucket the members are first compared with the
-bucket's first one; after that only members of different components are compared, in blocks,
-so a group of near copies costs its size and not its square.
+bucket's first one; after that only members of different components are compared, within the
+families that unresolved buckets connect, block by block; such a task returns the links that
+join components, so no rows are made in the square of a group's size.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ _LOG = np.log(BASE)
 _MULTIPLIERS = np.random.default_rng(20240613).integers(1 << 62, 1 << 63, REGISTERS, dtype=U64) * U64(2) + U64(1)
 # The likelihood ratio (log) beyond which a pair is ruled out: about five standard errors.
 MARGIN = 12.5
+# A cheap test before the likelihood: at a similarity of 0.75, fewer equal registers than this has odds of 1e-13.
+LEAST_EQUAL = 38
 MAX_BROADCAST_IDS = 200_000
-SMALL_BUCKET, PAIR_BLOCK = 32, 256
+PAIR_BLOCK = 1024
 
 
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
@@ -113,17 +116,18 @@ def _estimate(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return both.where(passes("regsa", "regsb", "na", "nb")).select("a", "b")
 
 
+def _alike(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Whether 100 * |intersection| >= 100 least * |union| of two sorted sets of distinct hashes."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= round(100 * least) * (len(x) + len(y) - both)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs whose full sets have 100 * |intersection| >= 100 least * |union|."""
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= round(100 * least) * (len(x) + len(y) - both))
-        return pd.Series(out, dtype=bool)
+        return pd.Series([_alike(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), least) for x, y in zip(a, b)], dtype=bool)
 
     side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").where(linked("seta", "setb")).select("a", "b")
@@ -146,6 +150,57 @@ def _sets(docs: DataFrame, firsts: DataFrame, wanted: DataFrame, words: int) ->
     return written(texts.mapInPandas(run, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
 
 
+def _new_links(left: pd.DataFrame, right: pd.DataFrame | None, least: float) -> list[tuple[int, int]]:
+    """Links between rows of different components: of ``left`` and ``right``, or within ``left``. Pairs that
+    a link found here has brought together are skipped; all others that the likelihood leaves are verified."""
+    both = left if right is None else pd.concat([left, right], ignore_index=True)
+    node, n, k = both["node"].to_numpy(), both["n"].to_numpy(float), len(left)
+    regs = np.frombuffer(b"".join(both["regs"]), "<u2").reshape(-1, REGISTERS)
+    sets = [np.frombuffer(x, "<u8") for x in both["shingles"]]
+    root = np.unique(both["part"].to_numpy(), return_inverse=True)[1]
+    out = []
+    for x in range(k):
+        y = np.arange(x + 1 if right is None else k, len(both))
+        y = y[(root[y] != root[x]) & (np.minimum(n[y], n[x]) >= least * np.maximum(n[y], n[x]) - 1e-9)]
+        if not len(y):
+            continue
+        same = (regs[y] == regs[x]).sum(1)
+        y, same = y[same >= LEAST_EQUAL * least / 0.75], same[same >= LEAST_EQUAL * least / 0.75]
+        ok = may_reach(np.broadcast_to(regs[x], (len(y), REGISTERS)), regs[y], np.full(len(y), n[x]), n[y], least)
+        for i in y[ok][np.argsort(-same[ok], kind="stable")]:
+            if root[i] != root[x] and _alike(sets[x], sets[i], least):
+                out.append((int(node[x]), int(node[i])))
+                root[root == root[i]] = root[x]
+    return out
+
+
+def _links_across(own: DataFrame, nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b): links between components, enough to join all that hang together, within each family of
+    ``own`` (node, part, family). Families of at most PAIR_BLOCK members are dealt to bins whole."""
+    sizes = own.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    at = F.row_number().over(Window.partitionBy("family").orderBy("part", "node")) - 1
+    rows = own.withColumn("block", F.floor(at / PAIR_BLOCK).cast("int")).join(sizes, "family")
+    blocks = rows.groupBy("family", "block").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("size").alias("size"))
+    other = blocks.select("family", F.col("block").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    # two blocks of one and the same component have nothing to compare
+    pairs = blocks.join(other, "family").where("block <= other and not (lo = hi and lo2 = hi2 and lo = lo2)").select(
+        "family", F.col("block").alias("i"), F.col("other").alias("j"))
+    pairs = pairs.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+    few = 16 * int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bin_of = F.when(F.col("size") <= PAIR_BLOCK, F.pmod(F.xxhash64("family"), F.lit(few))).otherwise(F.xxhash64("family", "i", "j"))
+    rows = rows.join(pairs, ["family", "block"]).withColumn("bin", bin_of).select("bin", "family", "i", "j", "block", "part", "node")
+    rows = rows.join(nodes, "node").join(sets, "node")
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (_, i, j), g in pdf.groupby(["family", "i", "j"], sort=False):
+            left = g[g["block"] == i].reset_index(drop=True)
+            out += _new_links(left, None if i == j else g[g["block"] == j].reset_index(drop=True), least)
+        return pd.DataFrame({"a": np.array([x for x, _ in out], "int64"), "b": np.array([x for _, x in out], "int64")})
+
+    return rows.groupBy("bin").applyInPandas(link, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.75) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable), kept.
 
@@ -175,46 +230,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = written(_verified(star, _sets(d, firsts, ends, words), least), "star-links")
     labels = component_labels(links, "near-components")
 
-    # buckets that still hold several components: all pairs across components, small buckets by a
-    # join within the bucket (at most SMALL_BUCKET^2 / 2 pairs each), larger ones in blocks of members
-    tagged = members.join(labels, "node", "left").withColumn("part", F.coalesce("component", "node")).select("band", "node", "part", "first", "size")
+    # buckets that still hold several components: what shares such buckets is a family, and every link
+    # not yet found lies within one. A family's members are compared across components in blocks of
+    # members, each pair of blocks once, with sketches and sets at hand; only new links come back
+    tagged = members.join(labels, "node", "left").withColumn("part", F.coalesce("component", "node")).select("band", "node", "part", "first")
     spread = tagged.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("band")
     rest = written(tagged.join(spread, "band"), "rest")
-    small = rest.where(F.col("size") <= SMALL_BUCKET).where("node <> first")
-    x, y = small.select("band", F.col("node").alias("a"), F.col("part").alias("pa")), small.select("band", F.col("node").alias("b"), F.col("part").alias("pb"))
-    near = _estimate(x.join(y, "band").where("a < b and pa <> pb").select("a", "b").distinct(), nodes, least)
-    large = rest.where(F.col("size") > SMALL_BUCKET).join(nodes, "node")
-    large = large.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("band").orderBy("part", "node")) - 1) / PAIR_BLOCK))
-    last = F.floor((F.col("size") - 1) / PAIR_BLOCK).cast("int")
-    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), last))).select(
-        "band", "node", "part", "first", "n", "regs", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-
-    def across(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = key[1], key[2]
-        left = pdf[pdf["block"] == i].reset_index(drop=True)
-        right = pdf[pdf["block"] == j].reset_index(drop=True)
-        regs = [np.frombuffer(b"".join(x["regs"]), "<u2").reshape(-1, REGISTERS) for x in (left, right)]
-        out = []
-        ln, rn = left["node"].to_numpy(), right["node"].to_numpy()
-        for x in range(len(left)):
-            ok = (right["part"] != left["part"][x]).to_numpy() & (ln[x] != left["first"][x]) & (rn != left["first"][x])
-            if i == j:
-                ok &= np.arange(len(right)) > x
-            y = np.flatnonzero(ok)
-            y = y[may_reach(np.broadcast_to(regs[0][x], (len(y), REGISTERS)), regs[1][y], np.full(len(y), float(left["n"][x])),
-                            right["n"].to_numpy(float)[y], least)]
-            out.append(np.stack([np.full(len(y), ln[x]), rn[y]], axis=1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), "int64")
-        return pd.DataFrame({"a": pairs.min(1).astype("int64"), "b": pairs.max(1).astype("int64")})
-
-    far = large.groupBy("band", "i", "j").applyInPandas(across, "a long, b long")
-    cross = written(near.union(far).distinct(), "cross-pairs")
-    if not cross.isEmpty():
-        ends = cross.select(F.col("a").alias("node")).union(cross.select("b")).distinct()
-        more = written(_verified(cross, _sets(d, firsts, ends, words), least), "cross-links")
+    if not rest.isEmpty():
+        families = component_labels(rest.select(F.col("first").alias("a"), F.col("node").alias("b")), "families")
+        own = written(rest.select("node", "part").distinct().join(families.withColumnRenamed("component", "family"), "node"), "family-members")
+        sets = _sets(d, firsts, own.select("node"), words)
+        more = written(_links_across(own, nodes, sets, least), "cross-links")
         if not more.isEmpty():
-            links = links.union(more)
-            labels = component_labels(links, "near-components")
+            known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = component_labels(known.union(more), "near-components")
 
     part = labels.join(firsts, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = firsts.join(labels, "node", "left").join(part, "component", "left").select(

@@ -62,7 +62,6 @@ def test_near_duplicates_equal_brute_force(spark):
 
 
 def test_large_buckets_go_by_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 2)
     monkeypatch.setattr(near_dedup, "PAIR_BLOCK", 3)
     monkeypatch.setattr(near_dedup, "MAX_BROADCAST_IDS", 1)
     test_near_duplicates_equal_brute_force(spark)
