@@ -56,9 +56,9 @@ def _positions(prints: Column) -> Column:
     return F.transform(prints, lambda f, i: F.struct(f.alias("print"), i.alias("start")))
 
 
-def _small(df: DataFrame, bound: int) -> DataFrame:
-    """``df`` (a written table) marked for broadcast if it holds at most ``bound`` rows."""
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+def _small(df: DataFrame, counted: DataFrame, bound: int) -> DataFrame:
+    """``df`` marked for broadcast if ``counted``, a table with at least as many rows, holds at most ``bound``."""
+    return F.broadcast(df) if counted.limit(bound + 1).count() <= bound else df
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -90,29 +90,29 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for p in parts[1:]:
         spans = spans.union(p)
     spans = written(spans.distinct(), "item-windows")
-    prints = written(spans.select("print").distinct(), "item-prints")
+    prints = spans.select("print").distinct()
 
     # one pass over the documents: word counts, and the fingerprints shared with any item
     probes = F.concat(F.array_distinct("prints"), *[F.array_distinct(_runs(F.col("words"), n, _short_hash(n))) for n in short])
     probed = _with_fingerprints(words, window, k).select(
         *keys, F.size("words").alias("n_words"), F.explode(F.concat(F.array(F.lit(None).cast("bigint")), probes)).alias("print"))
-    found = probed.join(_small(prints.withColumn("hit", F.lit(True)), max_broadcast), "print", "left").where("hit or print is null")
+    found = probed.join(_small(prints.withColumn("hit", F.lit(True)), spans, max_broadcast), "print", "left").where("hit or print is null")
     seen = found.groupBy(*keys, "n_words").agg(
         F.sum(F.when(F.col("print").isNull(), 1).otherwise(0)).alias("copies"), F.collect_set("print").alias("hit_prints"))
     seen = written(seen, "probed")
 
     # extension: the hit windows of those documents, as text
-    hit_rows = written(seen.where("size(hit_prints) > 0").select(*keys, "hit_prints"), "hit-documents")
+    hit_rows = seen.where("size(hit_prints) > 0").select(*keys, "hit_prints")
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["row"] == b["row"])
-    few = _small(hit_rows, max_broadcast)
+    few = _small(hit_rows, hit_rows, max_broadcast)
     texts = d.join(few, same(d, few)).select(d["doc_id"], d["row"], "text", "hit_prints")
     texts = _with_fingerprints(texts.select(*keys, "hit_prints", item_words(F.col("text")).alias("words")), window, k)
     hit = lambda xs: F.filter(xs, lambda x: F.array_contains(F.col("hit_prints"), x["print"]))
     cut = [_spans(window, hit(_positions(F.col("prints"))))]
     cut += [_spans(n, hit(_positions(_runs(F.col("words"), n, _short_hash(n))))) for n in short]
     windows = texts.select(*keys, F.inline(F.concat(*cut)))
-    matched = written(windows.join(_small(spans.drop("print"), max_broadcast), ["length", "span"]).select(
-        *keys, "start", "length", "item_id").distinct(), "matched")
+    matched = windows.join(_small(spans.drop("print"), spans, max_broadcast), ["length", "span"]).select(
+        *keys, "start", "length", "item_id")
 
     covered = F.flatten(F.transform(F.collect_set(F.struct("start", "length")), lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1)))
     by_row = matched.groupBy(*keys).agg(
