@@ -42,7 +42,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: pieces of sequences of at most 1024 tokens."""
     ship_package(spark)
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    # workers that earlier stages have used keep a smaller cache
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cache_entries=200_000)
 
 
 STAGES = [

@@ -164,7 +164,8 @@ def compile_rules(patterns: list[tuple[str, bool]], search: bool, backward: bool
         member.setdefault(p, i)
     order = sorted(member, key=lambda p: (p != part[0], bool(rules[member[p]]), p))
     new = {p: i for i, p in enumerate(order)}
-    table = [new[part[t]] * 256 for p in order for t in rows[member[p]]]
+    offset = [i * 256 for i in range(n)]  # one number object a state
+    table = [offset[new[part[t]]] for p in order for t in rows[member[p]]]
     kept = [rules[member[p]] for p in order]
     dead = next((i for i in range(n) if not kept[i] and all(t == i * 256 for t in table[i * 256 : i * 256 + 256])), -1)
     return Dfa(table, next((i for i in range(n) if kept[i]), n), kept, dead)

@@ -115,13 +115,15 @@ def pack_sizes(sizes: list[int], capacity: int, cut: bool = True) -> list[list[t
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024,
-         end_id: int = 0, block_tokens: int = 262_144, with_ids: bool = False) -> DataFrame:
+         end_id: int = 0, block_tokens: int = 262_144, with_ids: bool = False,
+         cache_entries: int = 1_000_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and with
     ``with_ids`` the piece's ids.
 
     A document is its ids and ``end_id``; each id lies in one piece. Null and empty texts are
     the end id alone; repeated rows are packed each; other columns are ignored; an empty table
-    gives no piece. Sequence ids are unique: the task's number and a count within it.
+    gives no piece. Sequence ids are unique: the task's number and a count within it. A worker
+    keeps at most ``cache_entries`` encoded pre-tokens.
     """
     types = dict(docs.dtypes)
     sc = docs.sparkSession.sparkContext
@@ -132,7 +134,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     names = [x.split()[0] for x in schema.split(", ")]
 
     def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(*shared.value)
+        bpe = encoder(*shared.value, cache_entries=cache_entries)
         sequence = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
         rest: list[tuple] = []  # (doc_id, start, ids, doc_tokens)

@@ -143,11 +143,11 @@ class ByteBpe:
 _ENCODERS: dict[str, ByteBpe] = {}
 
 
-def encoder(key: str, spec: str, frequent=None) -> ByteBpe:
+def encoder(key: str, spec: str, frequent=None, cache_entries: int = 1_000_000) -> ByteBpe:
     """The worker's encoder for ``key``; the caches outlive a task. Older ones are dropped."""
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = ByteBpe(spec, frequent() if frequent else None)
+        _ENCODERS[key] = ByteBpe(spec, frequent() if frequent else None, cache_entries)
     return _ENCODERS[key]
 
 

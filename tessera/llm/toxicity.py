@@ -46,7 +46,7 @@ class SeverityModel:
 
     def counts(self, text: str | None) -> Counter:
         """Selected features -> distinct words of the text that have them."""
-        if len(self._known) > 500_000:
+        if len(self._known) > 100_000:
             self._known.clear()
         out: Counter = Counter()
         for w in text_words(text):

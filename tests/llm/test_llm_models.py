@@ -8,6 +8,7 @@ import pytest
 from llm_cases import TEXTS, documents, rows_of, sha
 
 import corpus_pipeline
+from oracle_check import compare, duck
 from tessera.llm import chat, quality, queries, toxicity
 from tessera.llm.shared import documents as table_documents
 from tessera.llm.shared import ship_package
@@ -139,6 +140,12 @@ def test_every_operator_is_registered_over_whole_tables(spark):
         assert names[name](spark, SMALL).count() == n
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_its_sql(spark, name):
+    ok, msg = compare(spark, SMALL, name, queries.queries()[name], queries.oracle_sql()[name], duck(SMALL))
+    assert ok, msg
+
+
 def test_pipeline_stages_keep_the_columns_and_take_effect(spark):
     docs = table_documents(spark, SMALL)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "secrets", "packing"]
