@@ -10,7 +10,9 @@ positions or more are repeated, and maximal runs of them are the maximal exact r
 Data flow: documents are dealt once into batches of bounded size; the three passes over them
 (probe, extend, remove) read the same exchange. What travels between batches is packed: per
 batch and bin a sorted array of distinct hashes (4 bytes a probe, 8 bytes a window, with a
-bit for those that occur twice in the batch), and bits in reply. A passage that a third of
+bit for those that occur twice in the batch), and bits in reply. Bits stand for a batch's
+distinct hashes in sorted order, never for rows: the passes may see a batch's rows in
+different orders, as a shuffle's blocks arrive. A passage that a third of
 the corpus shares is one entry a batch. Bins and batches grow in number with the input, so
 no task's share does. Hashes have 32 (probes: only a filter) or 64 bits besides the bin's.
 """
@@ -77,6 +79,8 @@ def _bits(flags: np.ndarray) -> bytes:
 
 
 def _flags(bits: bytes, n: int) -> np.ndarray:
+    if len(bits) != -(-n // 8):
+        raise ValueError(f"{len(bits)} bytes of flags for {n} hashes: a batch changed between two passes")
     return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
@@ -128,8 +132,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         b = _Batch(pdf["text"], block, window)
         at, v = b.blocks(bins)
         u, back = np.unique(v, return_inverse=True)
-        hot = _answers(u >> U64(32), replies)[back]
-        bin_of, h = b.windows(b.candidates(hot, at), bins)
+        hot = _answers(u >> U64(32), replies)
+        bin_of, h = b.windows(b.candidates(hot[back], at), bins)
         order = np.lexsort((h, bin_of))
         bin_of, h = bin_of[order], h[order]
         new = np.ones(len(h), bool)
@@ -138,11 +142,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         twice = np.diff(np.append(first, len(h))) > 1
         u, bin_u = h[first], bin_of[first]
         names, lo, hi = _cuts(bin_u)
-        # the hot blocks themselves are kept for the last pass: a row that only passes through a bin
+        # which blocks are hot is kept for the last pass: a row that only passes through a bin
         return _frame({"bin": np.append(names, U64(key[0] % bins)).astype("int64"), "batch": np.full(len(names) + 1, key[0]),
                        "kind": np.append(np.zeros(len(names), "int32"), 1),
                        "hashes": [*(u[a:z].astype("<u8").tobytes() for a, z in zip(lo, hi)), b""],
-                       "twice": [*(_bits(twice[a:z]) for a, z in zip(lo, hi)), _bits(hot)]})
+                       "twice": [*(_bits(twice[a:z]) for a, z in zip(lo, hi)), len(hot).to_bytes(8, "little") + _bits(hot)]})
 
     def answer_windows(key, pdf: pd.DataFrame) -> pd.DataFrame:
         ask = pdf["kind"] == 0
@@ -157,9 +161,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def remove(key, pdf: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         b = _Batch(pdf["text"], block, window)
-        at, _ = b.blocks(bins)
-        through = replies[replies["kind"] == 1]
-        pos = b.candidates(_flags(through["bits"].iloc[0], len(at)), at) if len(through) else np.zeros(0, "int64")
+        at, v = b.blocks(bins)
+        u, back = np.unique(v, return_inverse=True)
+        through = replies[replies["kind"] == 1]["bits"].iloc[0]
+        if int.from_bytes(through[:8], "little") != len(u):
+            raise ValueError(f"{int.from_bytes(through[:8], 'little')} blocks before, {len(u)} now: a batch changed between two passes")
+        pos = b.candidates(_flags(through[8:], len(u))[back], at)
         bin_of, h = b.windows(pos, bins)
         order = np.lexsort((h, bin_of))
         hs, bs = h[order], bin_of[order]

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from llm_cases import LONG, PASSAGE, TEXTS, contaminated, documents, removed, rows_of, shingles, smallest_reachable
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from tessera.llm import decontaminate, embeddings, near_dedup, repeats
 from tessera.llm.shared import component_labels, ship_package
@@ -35,6 +36,22 @@ def test_repeats_equal_brute_force(spark):
     assert kept[0] == rows[0][1].strip() or removed(rows)
 
 
+def test_repeats_do_not_depend_on_row_order(spark, monkeypatch):
+    r = random.Random(5)
+    shared = [" ".join(f"s{k}x{i}" for i in range(40)) for k in range(12)]
+    rows = [(i, " ".join([f"o{i}x{j}" for j in range(r.randint(0, 90))] + [r.choice(shared), f"e{i}"] + [f"q{i}x{j}" for j in range(r.randint(0, 90))]))
+            for i in range(150)]
+    plain = PandasCogroupedOps.applyInPandas
+
+    def mixed(self, func, schema):  # each pass over the batches sees its rows in an order of its own
+        seed = len(schema)
+        return plain(self, lambda key, docs, replies: func(key, docs.sample(frac=1, random_state=seed).reset_index(drop=True), replies), schema)
+
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", mixed)
+    assert rows_of(repeats.remove_repeats(documents(spark, rows))) == removed(rows)
+    assert rows_of(repeats.remove_repeats(documents(spark))) == removed(TEXTS)
+
+
 def near_rows():
     r = random.Random(4)
     base = [f"v{r.randint(0, 5000)}" for _ in range(120)]
