@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import near_dedup, packing, secret_scan, toxicity
-from tessera.llm.decontaminate import contamination
+from tessera.llm.decontaminate import contamination, row_key
 from tessera.llm.shared import documents, ship_package, written
 from tessera.sources.tables import table
 
@@ -28,9 +28,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents that hold a window of a benchmark item go."""
-    hit = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return docs.join(written(hit, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+    """Operator 8: documents that hold a window of a benchmark item go; each row by its own text, without an id too."""
+    hit = contamination(docs, table(spark, sf_dir, "benchmark"), with_row=True).where("contaminated").select("doc_id", "row").distinct()
+    hit = written(hit, "contaminated")
+    same = docs["doc_id"].eqNullSafe(hit["doc_id"]) & (row_key(docs["doc_id"], docs["text"]) == hit["row"])
+    return docs.join(hit, same, "left_anti")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

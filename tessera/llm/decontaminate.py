@@ -61,9 +61,16 @@ def _small(df: DataFrame, counted: DataFrame, bound: int) -> DataFrame:
     return F.broadcast(df) if counted.limit(bound + 1).count() <= bound else df
 
 
+def row_key(id_col: str | Column, text_col: str | Column) -> Column:
+    """A hash of a row's id and text."""
+    return F.xxhash64(id_col, text_col)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", window: int = 10, k: int = 5, max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+                  item_text_col: str = "text", window: int = 10, k: int = 5, max_broadcast: int = MAX_BROADCAST_ROWS,
+                  with_row: bool = False) -> DataFrame:
+    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and
+    ``with_row`` the row's ``row_key``, as ids may repeat or be null.
 
     Null and empty texts have no words and aren't contaminated; items without words or
     without an id match nothing; repeated rows and ids stay, each judged by its own text;
@@ -71,7 +78,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     they are broadcast; above ``max_broadcast`` rows the same joins are shuffled.
     """
     keys = ["doc_id", "row"]
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("row", row_key("doc_id", "text"))
     words = d.select(*keys, item_words(F.col("text")).alias("words"))
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), item_words(F.col(item_text_col)).alias("words"))
     items = written(items.where("size(words) > 0 and item_id is not null"), "items")
@@ -118,7 +125,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     by_row = matched.groupBy(*keys).agg(
         F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), F.array_sort(F.collect_set("item_id")).alias("items"))
     out = seen.join(by_row, same(seen, by_row), "left").select(
-        seen["doc_id"], F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        seen["doc_id"], *([seen["row"]] if with_row else []), F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         hex_sha256(F.array_join(F.coalesce("items", F.array().cast("array<string>")), ",")).alias("items_sha256"),
         F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_copy"))

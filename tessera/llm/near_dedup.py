@@ -83,7 +83,7 @@ def may_reach(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, leas
 
 
 def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, node, regs) per row of (doc_id, text); node is a hash of the set, null if empty."""
+    """(doc_id, row, n_shingles, node, regs) per row of (doc_id, row, text); node is a hash of the set, null if empty."""
     id_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,10 +94,10 @@ def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
                 ns.append(len(s))
                 nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
                 regs.append(registers(s).tobytes() if len(s) else None)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype(object), "n_shingles": np.array(ns, "int64"),
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype(object), "row": b["row"], "n_shingles": np.array(ns, "int64"),
                                 "node": pd.Series(nodes, dtype=object, index=b.index), "regs": pd.Series(regs, dtype=object, index=b.index)})
 
-    return docs.mapInPandas(run, f"doc_id {id_type}, n_shingles long, node long, regs binary")
+    return docs.mapInPandas(run, f"doc_id {id_type}, row long, n_shingles long, node long, regs binary")
 
 
 def _estimate(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -209,7 +209,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeat with different texts are judged row by row; other columns are ignored; an empty
     table gives an empty result.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _judged(docs, id_col, text_col, words, least).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, words: int = 5, least: float = 0.75) -> DataFrame:
+    """``near_duplicates`` with ``row``, a hash of the text, and ``part``, the row's group (null without words)."""
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("row"))
     sk = written(sketches(d, words), "sketches")
     valid = sk.where("doc_id is not null and node is not null")
     # copies: one node; the sums of a large group are combined in the tasks
@@ -247,19 +252,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     part = labels.join(firsts, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = firsts.join(labels, "node", "left").join(part, "component", "left").select(
-        "node", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "node", F.coalesce("component", "node").alias("part"), F.coalesce("component_id", "doc_id").alias("component_id"))
     out = sk.join(of_node, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+        "doc_id", "row", "n_shingles", "part", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: the one of smallest id (of repeated rows one).
-    Rows without an id or without words stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = written(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    few = gone.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-    rows = docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["_gone"], "left_anti")
-    again = rows.groupBy(id_col).count().where(F.col(id_col).isNotNull() & (F.col("count") > 1)).select(id_col)
-    again = [r[0] for r in again.limit(1).collect()]
-    return rows.dropDuplicates([id_col, text_col]) if again else rows
+    """``docs`` with one row of each group of near-duplicates: the one of smallest id (of its rows one).
+    Rows without an id or without words stay, as does an id's row that is no duplicate."""
+    found = _judged(docs, id_col, text_col).where("doc_id is not null and part is not null")
+    found = written(found.select("doc_id", "row", "part", "kept"), "near-found")
+    # an id may stand at several rows of its group: of different texts one stays, and of its copies one
+    repeated = found.where("kept").groupBy("doc_id", "part").agg(F.min("row").alias("low"), F.count(F.lit(1)).alias("n"))
+    repeated = written(repeated.where("n > 1").drop("n"), "near-repeated")
+    other = found.where("kept").join(repeated, ["doc_id", "part"]).where("row <> low")
+    gone = written(found.where("not kept").select("doc_id", "row").union(other.select("doc_id", "row")).distinct(), "near-gone")
+
+    def rows_in(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        few = keys.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+        same = (rows[id_col] == keys["doc_id"]) & (F.xxhash64(rows[text_col]) == keys["row"])
+        return rows.join(F.broadcast(keys) if few else keys, same, how)
+
+    # a row goes by its id and text: other rows of the id are judged on their own
+    rows = rows_in(docs, gone.select("doc_id", "row"), "left_anti")
+    if repeated.isEmpty():
+        return rows
+    copies = repeated.select("doc_id", F.col("low").alias("row"))
+    return rows_in(rows, copies, "left_anti").union(rows_in(rows, copies, "left_semi").dropDuplicates([id_col, text_col]))

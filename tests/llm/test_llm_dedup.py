@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from llm_cases import LONG, PASSAGE, TEXTS, contaminated, documents, removed, rows_of, shingles, smallest_reachable
@@ -93,6 +94,27 @@ def test_one_of_each_group_stays(spark):
     assert near_dedup.near_duplicates(kept).where("not kept").count() == 0
 
 
+def test_rows_go_by_id_and_text(spark):
+    near, clean = [f"n{i}" for i in range(80)], [f"c{i}" for i in range(80)]
+    text = lambda w, *more: " ".join([*w, *more])
+    rows = [(1, text(near)), (2, text(near, "x")), (2, text(clean)), (2, text(clean)), (3, "other words"), (4, text(near, "y")), (4, "of its own"),
+            (5, text(map(str, range(80)))), (5, text(map(str, range(80)), "z")), (None, text(near)), (None, text(near)), (6, ""), (6, ""), (7, None), (7, None)]
+    got = rows_of(near_dedup.keep_one(documents(spark, rows)), "doc_id", "text")
+    five = [r for r in got if r[0] == 5]
+    assert len(five) == 1 and five[0] in rows
+    assert [r for r in got if r[0] != 5] == sorted(
+        [(1, text(near)), (2, text(clean)), (3, "other words"), (4, "of its own"), (None, text(near)), (None, text(near)), (6, ""), (6, ""),
+         (7, None), (7, None)], key=str)
+
+
+def test_contaminated_rows_go_by_id_and_text(spark, tmp_path):
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, "x " + PASSAGE), (1, "clean words"), (1, "clean words"), (None, PASSAGE), (None, "clean too"), (None, None), (2, PASSAGE), (3, "")]
+    got = corpus_pipeline.drop_contaminated(spark, documents(spark, rows), str(tmp_path))
+    assert got.columns == documents(spark, rows).columns
+    assert rows_of(got, "doc_id", "text") == sorted([rows[1], rows[2], rows[4], rows[5], rows[7]], key=str)
+
+
 def test_registers_estimate_and_merge():
     r = np.random.default_rng(3)
     a = r.integers(0, 1 << 63, 2000).astype("u8")
