@@ -19,11 +19,15 @@ def best_candidate(candidates: DataFrame, group_col: str, text_col: str = "text"
     """Per group the longest text after stripping, the first candidate on a tie.
 
     Only length and number are aggregated (partially in the tasks, so a group with a third of all
-    candidates stays small); the winner's text is joined back by group and number."""
-    key = F.struct(F.length(strip_ws(text_col)).alias("n"), (-F.col(order_col)).alias("neg"))
-    best = candidates.groupBy(F.col(group_col).alias("_group")).agg((-F.max(key)["neg"]).alias("_no"))
-    won = candidates.join(best, candidates[group_col].eqNullSafe(best["_group"]) & (candidates[order_col] == best["_no"]))
-    return won.select(group_col, order_col, text_col)
+    candidates stays small); the winner's text is joined back by group, number and length. A null number comes after all others;
+    of texts of the same length and number the smallest is taken."""
+    length = F.length(strip_ws(text_col))
+    key = F.struct(length.alias("n"), (-F.col(order_col)).alias("neg"))
+    best = candidates.groupBy(F.col(group_col).alias("_group")).agg(F.max(key).alias("_key"))
+    best = best.select("_group", F.col("_key.n").alias("_n"), (-F.col("_key.neg")).alias("_no"))
+    won = candidates.join(best, candidates[group_col].eqNullSafe(best["_group"]) & candidates[order_col].eqNullSafe(best["_no"])
+                          & F.length(strip_ws(candidates[text_col])).eqNullSafe(best["_n"]))
+    return won.groupBy(group_col, order_col).agg(F.min(text_col).alias(text_col))
 
 
 def parse(texts: DataFrame, as_of: str, id_col: str = "doc_id", text_col: str = "raw_text",
