@@ -88,3 +88,25 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
 FROM t3 JOIN made USING (conv_id) GROUP BY conv_id
 """
+
+ORACLES["op12_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                  md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS key FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+               CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w FROM d GROUP BY source),
+-- a target is cut if it is above its bound when all sources of smaller bound per weight are cut
+lvl AS (SELECT a.source, a.source_size, a.w,
+               (SELECT 1.5 * sum(b.source_size) FROM src b) -
+               (SELECT coalesce(sum(2.0 * b.source_size), 0) FROM src b WHERE 2.0 * b.source_size / b.w < 2.0 * a.source_size / a.w) AS rest,
+               (SELECT sum(b.w) FROM src b WHERE 2.0 * b.source_size / b.w >= 2.0 * a.source_size / a.w) AS ws FROM src a),
+cut AS (SELECT *, rest * w / ws > 2.0 * source_size AS above FROM lvl),
+fin AS (SELECT (SELECT 1.5 * sum(source_size) FROM cut) - coalesce(sum(CASE WHEN above THEN 2.0 * source_size END), 0) AS rest,
+               sum(CASE WHEN NOT above THEN w END) AS ws FROM cut),
+t AS (SELECT source, source_size, CASE WHEN above THEN 2.0 * source_size ELSE fin.rest * w / fin.ws END AS target FROM cut, fin),
+p AS (SELECT d.*, source_size, target, CAST(floor(target) AS BIGINT) AS q,
+             CAST(sum(size) OVER (PARTITION BY d.source ORDER BY key ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS pos
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN size = 0 THEN 0 ELSE (q // source_size) * size + greatest(0, least(pos + size, q % source_size) - pos) END AS taken
+FROM p
+"""
