@@ -110,3 +110,20 @@ SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0 ELSE (q // source_size) * size + greatest(0, least(pos + size, q % source_size) - pos) END AS taken
 FROM p
 """
+
+ORACLES["op11_lexical_search"] = r"""
+WITH low AS (
+  SELECT 'd' AS side, doc_id AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL SELECT 'b', item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (SELECT side, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM low WHERE t IS NOT NULL),
+every AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(ws)) AS BIGINT) AS l FROM w WHERE side = 'd' AND len(ws) > 0),
+tf AS (SELECT id, n, term, count(*) AS tf FROM (SELECT id, CAST(len(ws) AS BIGINT) AS n, unnest(ws) AS term FROM w WHERE side = 'd') GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * every.n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, every),
+q AS (SELECT id AS item_id, term, count(*) AS q FROM (SELECT id, unnest(ws) AS term FROM w WHERE side = 'b') GROUP BY ALL),
+s AS (SELECT item_id, tf.id AS doc_id,
+             CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * tf.n * every.n) // every.l)))) AS BIGINT) AS score
+      FROM q JOIN wt USING (term) JOIN tf USING (term), every GROUP BY item_id, tf.id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""

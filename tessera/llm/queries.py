@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontaminate, embeddings, mixing, near_dedup, packing, quality, repeats, secret_scan, token_counts, toxicity, whitening
+from tessera.llm import chat, decontaminate, embeddings, lexical, mixing, near_dedup, packing, quality, repeats, secret_scan, token_counts, toxicity, whitening
 from tessera.llm.oracles import ORACLES
 from tessera.llm.shared import documents, ship_package, written
 from tessera.sources.tables import table
@@ -66,6 +66,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = written(mixing.sizes(documents(spark, sf_dir)), "sizes")
     return mixing.taken(sized).select("doc_id", "size", "source_size", "target", "taken")
@@ -79,8 +83,8 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_counts, op2_packing, op3_secret_scan, op4_toxicity, op5_substring_dedup, op6_near_dedup,
-        op7_quality, op8_decontamination, op9_chat_format, op10_embedding_dedup, op12_mixing,
-        op13_whitening)}
+        op7_quality, op8_decontamination, op9_chat_format, op10_embedding_dedup, op11_lexical_search,
+        op12_mixing, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
