@@ -8,8 +8,8 @@ Blocks. A source's documents are shuffled by a hash of the row and laid end to e
 ``block_words`` words give equal blocks (the last of a source may be short), so a block may begin and end inside documents.
 
 Schedule. The mix has as many slots as the targets need blocks, M. Slot i has the golden-ratio point
-x = i * g mod M, where g is the number nearest to M / 1.618... that is coprime to M; cumulative targets
-cut 0 .. M - 1 into one interval a source, and the slot goes to the source whose interval holds its point. As i -> x is
+x = i * g mod M, where g is a number next to M / 1.618..., coprime to M, with a continued fraction g / M as near to the
+golden ratio's (all quotients 1) as there is; cumulative targets cut 0 .. M - 1 into one interval a source, and the slot goes to the source whose interval holds its point. As i -> x is
 one to one, each source gets just its number of slots, spread evenly over any stretch of the mix. A source's slots are
 ranked, and its r-th slot takes its r-th block, from the first block again after the last.
 
@@ -46,6 +46,20 @@ def _running(df: DataFrame, within: list[str], bucket: str, order: list[str], va
     return df.join(sums, keys).withColumn(out, F.col("_before") + own).drop("_before")
 
 
+def golden_step(n: int, near: int = 300) -> int:
+    """A number coprime to ``n`` next to n / golden ratio; of those, the one whose continued fraction has the smallest
+    quotients, as the points' unevenness grows with their sum."""
+
+    def quotients(g: int) -> tuple[int, int]:
+        a, b, total = n, g, 0
+        while b:
+            a, b, total = b, a % b, total + a // b
+        return (total, g) if a == 1 else (n + 1, g)
+
+    mid, near = round(n / GOLDEN), min(near, math.isqrt(n))
+    return min(quotients(g) for g in range(max(1, mid - near), min(n, mid + near) + 1))[1] if n > 1 else 1
+
+
 def row_keys(docs: DataFrame, seed: str, id_col: str = "doc_id", text_col: str = "text") -> Column:
     """A hash of id and text (null like empty): the shuffled place of a row. Rows that share it are alike."""
     return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(docs[id_col].cast("string"), F.lit("")),
@@ -94,10 +108,7 @@ def schedule(per: DataFrame, block_words: int) -> DataFrame:
     n = per.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     if n >= MOST_SLOTS:
         raise ValueError(f"{n} slots; take larger blocks than {block_words} words")
-    g = max(1, round(n / GOLDEN))
-    while math.gcd(g, n) > 1:
-        g += 1
-    back = pow(g, -1, n) if n > 1 else 0
+    back = pow(golden_step(n), -1, n) if n > 1 else 0
     m = F.lit(max(n, 1))
     # the interval of a source, unrolled to its points in two steps; the first deals them out
     chunks = per.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK))))
