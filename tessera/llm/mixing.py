@@ -119,6 +119,7 @@ def schedule(per: DataFrame, block_words: int) -> DataFrame:
     points = points.withColumn("slot", F.pmod(high + F.pmod(F.col("x"), F.lit(half)) * F.lit(back), m))
     width = F.ceil(m / F.ceil(F.col("slots") / BUCKET_ROWS))
     points = points.select("s", "blocks", "epochs", "over", "slot", F.floor(F.col("slot") / width).alias("bucket"))
+    points = written(points, "points")  # later joins see its true size, which an unrolled column hides
     ranked = _running(points, ["s"], "bucket", ["slot"], F.lit(1), "rank")
     out = ranked.select("s", "slot", F.floor(F.col("rank") / F.col("blocks")).alias("epoch"), F.pmod("rank", F.col("blocks")).alias("block"), "epochs", "over")
     last = F.least(F.lit(block_words), F.col("over") - F.col("block") * block_words)
