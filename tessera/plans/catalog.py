@@ -12,6 +12,7 @@ _FAMILIES = [
     "tessera.plans.receipt_queries",
     "tessera.plans.store_queries",
     "tessera.plans.stream_queries",
+    "tessera.plans.join_queries",
 ]
 
 
