@@ -13,6 +13,7 @@ _FAMILIES = [
     "tessera.plans.store_queries",
     "tessera.plans.stream_queries",
     "tessera.plans.join_queries",
+    "tessera.plans.event_time_queries",
 ]
 
 

@@ -37,11 +37,12 @@ def _run(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def run_to_table(stream: DataFrame, out_path: str, mode: str = "complete", name: str = "stream") -> str:
+def run_to_table(stream: DataFrame, out_path: str, mode: str = "complete", name: str = "stream", checkpoint: str | None = None) -> str:
     """Run a streaming query to completion; every micro-batch overwrites (complete/update
-    results) or appends under its ``batch_id`` (append), so a replayed batch is idempotent."""
+    results) or appends under its ``batch_id`` (append), so a replayed batch is idempotent.
+    With a ``checkpoint`` folder of its own a later run goes on where this one ended."""
     spark = stream.sparkSession
-    ckpt = shared_dir(spark, f"stream-ckpt-{name}")
+    ckpt = checkpoint or shared_dir(spark, f"stream-ckpt-{name}")
 
     def sink(df: DataFrame, batch_id: int) -> None:
         if mode == "append":
