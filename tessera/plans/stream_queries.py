@@ -9,7 +9,10 @@ from tessera.operators.clean import strip_ws
 from tessera.plans.profile_queries import CUSTOMER_COLUMNS
 from tessera.session import shared_dir
 from tessera.sources import views
+from tessera.plans.store_queries import STORE_LINKS, STORE_LOOP
 from tessera.streaming import incremental as T
+from tessera.streaming.event_time import arrive
+from tessera.streaming.store_state import stream_stores
 
 
 def _events(spark, d):
@@ -117,6 +120,17 @@ def t05_accumulated_report(spark, d):
     return T.accumulated_report(_customer_counts(spark, d), _customer_flags(spark, d), _customer_ids(spark, d), len(CUSTOMER_COLUMNS))
 
 
+def t08_streamed_stores(spark, d):
+    """Receipts arriving in five parts: each with its store, found or created, and a new store's name."""
+    receipts, parts = views.store_receipts_v(spark, d), F.lit(CHUNKS)
+    top = receipts.select(F.max("receipt_id") + 1).scalar()
+    arriving = arrive(receipts.withColumn("arrival", F.floor(F.col("receipt_id") * parts / top).cast("int")), "arrival", "receipt_id",
+                      shared_dir(spark, "receipt-arrivals"), 4)
+    results = stream_stores(arriving, views.stores_v(spark, d))
+    new = results.read("new").select(F.col("id").alias("store_id"), F.col("name").alias("new_name"))
+    return results.read("links").join(new, "store_id", "left").select("receipt_id", "store_id", "new_name")
+
+
 _NULLS = ", ".join(f"count(*) - count({c}) AS null_{c}" for c in
                    ["event_id", "ts", "user_id", "event_type", "value", "props"])
 
@@ -154,6 +168,8 @@ _BATCHES = f"""SELECT CAST((SELECT count(*) FROM customers_v) AS BIGINT) AS rows
                 FROM (SELECT *, CAST(idx // 7 AS BIGINT) % {CHUNKS} AS chunk FROM customers_v)) WHERE rn = 1)"""
 
 ORACLES = {
+    "t08_streamed_stores": STORE_LOOP + f"""SELECT l.receipt_id, l.store_id, n.name AS new_name
+        FROM {STORE_LINKS} l LEFT JOIN new_stores n ON n.id = l.store_id""",
     "t01_customer_counters": _COUNTERS,
     "t02_customer_flags": _FLAGS,
     "t03_distinct_customers": "SELECT count(DISTINCT customer_id) AS distinct_keys FROM customers_v",
@@ -176,6 +192,7 @@ ORACLES = {
 }
 
 QUERIES = {
+    "t08_streamed_stores": t08_streamed_stores,
     "t01_customer_counters": t01_customer_counters,
     "t02_customer_flags": t02_customer_flags,
     "t03_distinct_customers": t03_distinct_customers,
