@@ -14,6 +14,7 @@ _FAMILIES = [
     "tessera.plans.stream_queries",
     "tessera.plans.join_queries",
     "tessera.plans.event_time_queries",
+    "tessera.plans.sketch_queries",
 ]
 
 
