@@ -116,7 +116,11 @@ def growth_metrics(df: DataFrame, date_col: str) -> DataFrame:
 
     Fewer than two years → growth 0.0 and ``insufficient_data`` (peak still reported).
     """
-    years = by_year(df, date_col)
+    return growth_of(by_year(df, date_col))
+
+
+def growth_of(years: DataFrame) -> DataFrame:
+    """B13/B14 from the counts per year (year, count)."""
     w = Window.orderBy("year")  # one row per year
     yoy = years.withColumn("prev", F.lag("count").over(w)).withColumn(
         "growth", F.when(F.col("prev") > 0, (F.col("count") - F.col("prev")) * 100.0 / F.col("prev"))

@@ -8,6 +8,7 @@ from tessera.functions.patterns import EMAIL_PATTERN, INDUSTRY_SEGMENTS, PHONE_P
 from tessera.operators import clean as P
 from tessera.operators import profile as B
 from tessera.operators import quality as Q
+from tessera.operators import report as R
 from tessera.session import shared_dir
 from tessera.sources import customers_csv as S
 from tessera.sources import views
@@ -39,9 +40,10 @@ def s01_csv_scan(spark, d):
 
 
 def s10_json_report(spark, d):
-    """Quality summary written as JSON to the shared folder and read back as text."""
-    path = S.write_json_report(Q.quality_summary(_cust(spark, d)), shared_dir(spark, "json_report"))
-    return spark.read.text(path).select(F.col("value").alias("report"))
+    """The whole profile, written as one nested JSON document to the shared folder, read back and laid out in rows."""
+    path = S.write_json_report(R.profile_report(_cust(spark, d)), shared_dir(spark, "json_report"))
+    rows = R.report_rows(spark.read.schema(R.SCHEMA).json(path))
+    return rows.withColumn("number", F.round("number", 4))
 
 
 # --- cleaning and validation -----------------------------------------------------------
@@ -307,6 +309,53 @@ _SEGMENTS = " UNION ALL ".join(
     f"SELECT '{name}' AS segment, count(*) FILTER (WHERE regexp_matches(company, '{pat}', 'i')) AS count FROM customers_v"
     for name, pat in INDUSTRY_SEGMENTS)
 
+_CDATES = "(SELECT CAST(try_strptime(subscription_date, '%Y-%m-%d') AS DATE) AS d FROM customers_v)"
+_CYEARS = f"(SELECT CAST(year(d) AS INTEGER) AS year, count(*) AS count FROM {_CDATES} WHERE d IS NOT NULL GROUP BY 1)"
+_TYPES = {c: "string" for c in CUSTOMER_COLUMNS} | {"idx": "bigint"}
+
+
+def _part(block: str, part: str, name: str, number: str, src: str, text: str = "NULL") -> str:
+    return f"SELECT '{block}' AS block, '{part}' AS part, CAST({name} AS VARCHAR) AS name, CAST({number} AS DOUBLE) AS number, CAST({text} AS VARCHAR) AS text FROM {src}"
+
+
+def _row(block: str, part: str, columns: list[str], src: str) -> str:
+    return " UNION ALL ".join(_part(block, part, f"'{c}'", c, src) for c in columns)
+
+
+def _report_sql() -> str:
+    o = ORACLES
+    seasons = o["b12_by_season"].replace(_DATES, f"(SELECT d FROM {_CDATES} WHERE d IS NOT NULL)")
+    growth = f"({_growth(_CYEARS)})"
+    dates = f"(SELECT min(d) AS a, max(d) AS b, count(d) AS n FROM {_CDATES})"
+    stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    q, b, c, t = "data_quality", "business_insights", "communication_analysis", "temporal_analysis"
+    parts = [
+        _row(q, "scores", ["total_rows", "valid_rows", "invalid_rows", "duplicate_count", "unique_customers", "invalid_emails", "invalid_dates",
+                           "invalid_phones", "completeness_score", "validity_score", "consistency_score"], f"({_QUALITY_ROW})"),
+        _part(q, "missing_values", "column_name", "null_count", f"({_NULLS})"),
+        _part(b, "geographic_distribution", "value", "count", f"({o['b01_top_countries']})"),
+        _part(b, "company_distribution", "value", "count", f"({o['b02_top_companies']})"),
+        _part(b, "industry_segments", "segment", "count", f"({o['b05_industry_segments']})"),
+        _part(b, "market_penetration", "value", "share_pct", f"({o['b03_market_penetration']})"),
+        _part(c, "email_domains", "domain", "count", f"({o['b15_email_domains']})"),
+        _row(c, "phone_patterns", ["total_primary_phones", "total_secondary_phones", "international_format", "with_extensions", "with_parentheses",
+                                   "dual_phone_customers", "coverage_percentage"], f"({o['b17_phone_patterns']})"),
+        _part(c, "website_domains", "host", "count", f"({_top(_HOST.replace('url', 'website'), 'host', 'customers_v', 10)})"),
+        _row(c, "communication_preferences", ["email_only", "phone_only", "multi_channel", "complete_profile", "minimal_contact"], f"({o['b19_channel_preferences']})"),
+        _row(c, "contact_completeness", ["email_completeness", "phone_completeness", "secondary_phone_completeness", "website_completeness",
+                                         "overall_completeness"], f"({o['b20_contact_completeness']})"),
+        _part(t, "subscription_by_year", "year", "count", _CYEARS),
+        _part(t, "subscription_by_month", "month", "count", f"(SELECT strftime(d, '%Y-%m') AS month, count(*) AS count FROM {_CDATES} WHERE d IS NOT NULL GROUP BY 1 ORDER BY 1 LIMIT 12)"),
+        _part(t, "seasonal_patterns", "season", "count", f"({seasons})"),
+        _row(t, "growth", ["average_growth_rate", "peak_year", "peak_subscriptions"], growth),
+        *[_part(t, "date_range", f"'{n}'", "NULL", dates, x) for n, x in {"min_date": "a", "max_date": "b", "total_days": "datediff('day', a, b)", "data_points": "n"}.items()],
+        _part(t, "trend", "'trend'", "NULL", growth, "trend"),
+        *[f"SELECT 'columns_info', 'data_types', '{x}', NULL, '{kind}'" for x, kind in _TYPES.items()],
+        *[_part("statistical_summary", "numeric_stats", f"'idx_{x}'", x, f"({_describe('customers_v', ['idx'])})") for x in stats],
+    ]
+    return " UNION ALL ".join(f"({p})" if "LIMIT" in p else p for p in parts)
+
+
 ORACLES = {
     "s01_csv_scan": "SELECT * FROM customers_v",
     "p01_dedup_first": f"SELECT customer_id, idx, email FROM {_DEDUP}",
@@ -405,6 +454,8 @@ ORACLES = {
     "b21_describe_customer": _describe("customer", ["c_acctbal"]),
 }
 
+ORACLES["s10_json_report"] = _report_sql()
+
 QUERIES = {
     "s01_csv_scan": s01_csv_scan,
     "s10_json_report": s10_json_report,
