@@ -117,7 +117,8 @@ def t04_customer_batches(spark, d):
 
 
 def t05_accumulated_report(spark, d):
-    return T.accumulated_report(_customer_counts(spark, d), _customer_flags(spark, d), _customer_ids(spark, d), len(CUSTOMER_COLUMNS))
+    schema = views.customers_v(spark, d).select(*CUSTOMER_COLUMNS).schema
+    return T.accumulated_report(_customer_counts(spark, d), _customer_flags(spark, d), _customer_ids(spark, d), t04_customer_batches(spark, d), schema)
 
 
 def t08_streamed_stores(spark, d):
@@ -150,6 +151,9 @@ _FLAGS = f"""SELECT count(*) AS total_rows, {_CNULLS}, count(phone_1) AS phones_
     count(*) FILTER (WHERE contains(phone_1, 'x')) AS phones_extensions FROM customers_v"""
 _MISSING = " + ".join(f"null_{c}" for c in CUSTOMER_COLUMNS)
 _REPORT_ROWS = {
+    ("summary", "total_records"): "total_rows", ("summary", "chunks_processed"): str(CHUNKS), ("summary", "unique_customers"): "ids",
+    ("columns", "total_columns"): str(len(CUSTOMER_COLUMNS)),
+    **{("columns", f"{c}: {'bigint' if c == 'idx' else 'string'}"): str(i) for i, c in enumerate(CUSTOMER_COLUMNS)},
     ("quality", "total_rows"): "total_rows", ("quality", "missing_values"): _MISSING, ("quality", "duplicate_count"): "total_rows - ids",
     ("quality", "unique_customers"): "ids",
     ("quality", "completeness_score"): f"round((total_rows * {len(CUSTOMER_COLUMNS)} - ({_MISSING})) * 100.0 / (total_rows * {len(CUSTOMER_COLUMNS)}), 4)",
@@ -160,6 +164,7 @@ _REPORT = f"""WITH c AS ({_COUNTERS}), f AS (SELECT *, (SELECT count(DISTINCT cu
     r AS (SELECT *, row_number() OVER (PARTITION BY counter ORDER BY count DESC, value) AS rn FROM c)
     SELECT counter AS section, value AS name, CAST(count AS DOUBLE) AS value FROM r WHERE rn <= CASE counter WHEN 'countries' THEN 15
       WHEN 'companies' THEN 15 WHEN 'email_domains' THEN 15 WHEN 'website_domains' THEN 10 WHEN 'months' THEN 12 ELSE 1000000 END
+    UNION ALL SELECT 'market_penetration', value, round(count * 100.0 / (SELECT total_rows FROM f), 4) FROM r WHERE counter = 'countries' AND rn <= 10
     UNION ALL """ + " UNION ALL ".join(f"SELECT '{a}', '{b}', CAST({v} AS DOUBLE) FROM f" for (a, b), v in _REPORT_ROWS.items())
 _BATCHES = f"""SELECT CAST((SELECT count(*) FROM customers_v) AS BIGINT) AS rows_in,
     count(*) FILTER (WHERE ok) AS processed, count(*) FILTER (WHERE NOT ok) AS failed, count(DISTINCT chunk) AS batches

@@ -158,6 +158,17 @@ def s11_synthetic_vectors(spark, d):
     return V.synthetic_near_axis(rows).select("id", "label", "embedding")
 
 
+def s11_vector_properties(spark, d):
+    """What the synthetic vectors promise, per id: length one, the axis largest, the rest within the ratio that the variance allows."""
+    rows = s11_synthetic_vectors(spark, d)
+    v = F.col("embedding")
+    top = F.array_max(v)
+    rest = F.array_max(F.filter(v, lambda x: x != top))
+    return rows.select("id", "label", F.size(v).cast("long").alias("dims"), (F.array_position(v, top) - 1).alias("largest"),
+                       (F.abs(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x) - 1) < 1e-9).alias("unit_length"),
+                       (rest <= top * (0.15 / 0.7)).alias("near_axis"), (F.array_min(v) >= 0).alias("not_negative"))
+
+
 def _duck_cos(a: str, b: str) -> str:
     na = f"sqrt(list_dot_product({a}::DOUBLE[], {a}::DOUBLE[]))"
     nb = f"sqrt(list_dot_product({b}::DOUBLE[], {b}::DOUBLE[]))"
@@ -251,4 +262,8 @@ QUERIES = {
     "s08_delete_vectors": s08_delete_vectors,
     "s08_deleted_count": s08_deleted_count,
     "s11_synthetic_vectors": s11_synthetic_vectors,
+    "s11_vector_properties": s11_vector_properties,
 }
+
+ORACLES["s11_vector_properties"] = """SELECT vec_id AS id, label, len(embedding) AS dims, CAST(label % len(embedding) AS BIGINT) AS largest,
+    true AS unit_length, true AS near_axis, true AS not_negative FROM embeddings"""

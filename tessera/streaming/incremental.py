@@ -12,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tessera.operators.clean import first_per_key, parse_date
 from tessera.operators.profile import email_domain, season_of, url_host
+from tessera.operators.report import PENETRATION, SHOWN
 from tessera.session import shared_dir
 
 
@@ -129,14 +131,15 @@ def top_from_state(counts: DataFrame, key: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc("count"), F.asc(key)).limit(n)
 
 
-def accumulated_report(counts: DataFrame, flags: DataFrame, distinct: DataFrame, n_columns: int) -> DataFrame:
+def accumulated_report(counts: DataFrame, flags: DataFrame, distinct: DataFrame, batches: DataFrame, schema: StructType) -> DataFrame:
     """T5: the report over the accumulated state, one row a figure: (section, name, value).
 
-    ``counts``: (counter, value, count) of T1; ``flags``: the row of T2; ``distinct``: the row of T3.
-    The most frequent 15 countries, companies and e-mail domains, 10 website hosts and 12 months;
-    all years and seasons (ties by value); phone patterns; the quality figures.
+    ``counts``: (counter, value, count) of T1; ``flags``: the row of T2; ``distinct``: the row of T3; ``batches``: the row of T4's
+    totals; ``schema``: of the rows. The most frequent values of each counter (``SHOWN``), all years and seasons (ties by
+    value); the share of the most frequent countries in all rows; phone patterns; the quality figures; the columns
+    by position with their types in the names; the summary.
     """
-    shown = {"countries": 15, "companies": 15, "email_domains": 15, "website_domains": 10, "months": 12}
+    shown, n_columns = SHOWN, len(schema)
     w = Window.partitionBy("counter").orderBy(F.desc("count"), F.asc("value"))
     limit = F.coalesce(F.create_map(*[F.lit(x) for kv in shown.items() for x in kv])[F.col("counter")], F.lit(1 << 30))
     top = counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit).select(
@@ -148,10 +151,17 @@ def accumulated_report(counts: DataFrame, flags: DataFrame, distinct: DataFrame,
                ("quality", "duplicate_count"): F.col("total_rows") - F.col("distinct_keys"),
                ("quality", "unique_customers"): F.col("distinct_keys"),
                ("quality", "completeness_score"): F.round(F.try_divide((cells - missing) * 100.0, cells), 4)}
+    figures |= {("summary", "total_records"): F.col("total_rows"), ("summary", "chunks_processed"): batches.select("batches").scalar(),
+                ("summary", "unique_customers"): F.col("distinct_keys"), ("columns", "total_columns"): F.lit(n_columns)}
+    figures |= {("columns", f"{c.name}: {c.dataType.simpleString()}"): F.lit(i) for i, c in enumerate(schema)}
     figures |= {("phone_patterns", c[7:]): F.col(c) for c in flags.columns if c.startswith("phones_")}
     figures |= {("missing_values", c[5:]): F.col(c) for c in flags.columns if c.startswith("null_")}
     rows = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).alias("name"), v.cast("double").alias("value")) for (s, n), v in figures.items()])
-    return top.unionByName(f.select(F.inline(rows)))
+    # the countries shown are more than those whose share is
+    by_share = counts.where("counter = 'countries'").orderBy(F.desc("count"), "value").limit(PENETRATION)
+    share = by_share.select(F.lit("market_penetration").alias("section"), F.col("value").alias("name"),
+                            F.round(F.try_divide(F.col("count") * 100.0, flags.select("total_rows").scalar()), 4).alias("value"))
+    return top.unionByName(share).unionByName(f.select(F.inline(rows)))
 
 
 def differs(a: DataFrame, b: DataFrame) -> DataFrame:
