@@ -121,3 +121,19 @@ SELECT q.question_id, CASE WHEN coalesce(f.n, 0) = 0 THEN 'NO_DATA' ELSE q.inten
   round(CASE WHEN coalesce(f.n, 0) > 0 THEN f.spent / f.n ELSE 0.0 END, 4) AS average_per_receipt
 FROM q LEFT JOIN f ON q.question_id = f.question_id"""
 QUERIES["n06_question_answers"] = n06_question_answers
+
+
+def n06_item_answers(spark, d):
+    """Top items and categories of every question that asks for items."""
+    out = QA.item_answers(views.receipts_v(spark, d), views.items_v(spark, d), _q(spark, d))
+    return out.select("question_id", "kind", F.col("rank").cast("long").alias("rank"), "name", F.round("figure", 4).alias("figure"))
+
+
+ORACLES["n06_item_answers"] = f"""
+WITH i AS (SELECT * FROM items_v WHERE receipt_id IN (SELECT receipt_id FROM receipts_v)),
+t AS (SELECT 'item' AS kind, item_name AS name, sum(total_price) AS figure, row_number() OVER (ORDER BY sum(total_price) DESC, item_name) AS rank
+      FROM i WHERE item_name <> '' AND total_price <> 0 GROUP BY item_name
+      UNION ALL SELECT 'category', category, count(*), row_number() OVER (ORDER BY count(*) DESC, category) FROM i WHERE category <> '' GROUP BY category)
+SELECT question_id, kind, rank, name, round(figure, 4)::DOUBLE AS figure FROM questions_v, t
+WHERE {_any_sql(N.ITEM_PHRASES)} AND rank <= CASE kind WHEN 'item' THEN 10 ELSE 5 END"""
+QUERIES["n06_item_answers"] = n06_item_answers

@@ -61,3 +61,45 @@ def test_numbers_that_are_no_ascii_or_too_large_end_no_job(spark):
                               "receipt_id long, store_name string, receipt_date timestamp_ntz, total_amount double")
     got = {x["question_id"]: (x["total_receipts"], x["total_spent"]) for x in QA.answer(r, q, AS_OF).collect()}
     assert got == {0: (0, 0.0), 1: (1, 60.0), 2: (0, 0.0), 3: (1, 60.0), 4: (1, 60.0)}
+
+
+def test_a_thousand_start_dates(spark, monkeypatch):
+    """Equal to direct pairing, also with dates on the starts and none at all; the rows shuffled rise with the log of the starts."""
+    rnd = random.Random(11)
+    midnight = dt.datetime(2001, 8, 2)
+    receipts = [(rid, "Hot Mart" if rid % 3 else rnd.choice(["Beta Mart", "Gamma Books", "Delta Cafe"]),
+                 midnight - dt.timedelta(days=rnd.randint(0, 1100), seconds=rnd.choice([0, 0, 1])), rnd.choice([None, 0.0, 5.0, 10.0, 20.0, 99.5, 250.0]))
+                for rid in range(500)]
+    tails = ["", " over $10", " under $99", " at mart", " over $5 at gamma"]
+    texts = [f"total cost past {n} days{tails[n % 5]}" for n in range(1, 1001)] + ["total cost", "cost over $20"]
+    rdf = spark.createDataFrame(receipts, "receipt_id long, store_name string, receipt_date timestamp_ntz, total_amount double")
+    counted, plain = [], QA._before
+
+    def counting(rows, thresholds, sums):
+        counted.append(rows.count())
+        return plain(rows, thresholds, sums)
+
+    monkeypatch.setattr(QA, "_before", counting)
+
+    def answers(texts):
+        counted.clear()
+        df = spark.createDataFrame(list(enumerate(texts)), "question_id long, question string")
+        got = {r["question_id"]: (r["answer_kind"], r["total_receipts"], round(r["total_spent"], 4), r["unique_stores"]) for r in QA.answer(rdf, df, AS_OF).collect()}
+        return got, list(counted)
+
+    got, many = answers(texts)
+    assert got == _brute(receipts, list(enumerate(texts)), spark)
+    _, few = answers(texts[::25])
+    assert many[0] <= 2 * 2 * 11 * len(receipts) and many[0] < 4 * few[0]  # 25 times the starts
+
+
+def test_items_of_questions(spark):
+    items = [(1, "pen", 2.0, "a"), (1, "pen", 3.0, "a"), (2, "ink", 5.0, None), (2, "cup", None, "b"), (9, "gone", 99.0, "z"), (2, "", 4.0, ""), (1, "tie", 5.0, "c"),
+             (2, "zero", 0.0, "b")]
+    idf = spark.createDataFrame(items, "receipt_id long, item_name string, total_price double, category string")
+    rdf = spark.createDataFrame([(1, "A"), (2, None), (None, "x")], "receipt_id long, store_name string")
+    qdf = spark.createDataFrame([(1, "What do I buy?"), (2, "total cost"), (3, None), (4, "items over $5")], "question_id long, question string")
+    got = sorted((r.question_id, r.kind, r["rank"], r.name, r.figure) for r in QA.item_answers(rdf, idf, qdf, 2, 2).collect())
+    one = [("category", 1, "a", 2.0), ("category", 2, "b", 2.0), ("item", 1, "ink", 5.0), ("item", 2, "pen", 5.0)]
+    assert got == [(q, *x) for q in (1, 4) for x in one]
+    assert QA.item_answers(rdf, idf.where("false"), qdf).count() == 0
