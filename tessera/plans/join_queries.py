@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import asof, ranges
+from tessera.operators import asof, difference, ranges
 from tessera.sources.tables import Tables
 
 MONTH = "2024-01-01 00:00:00"
@@ -73,11 +73,43 @@ def j02_turn_context(spark, d):
     return met.select("conv_id", F.col("range_turn").alias("turn"), "user_turn")
 
 
+def _versions(spark, d):
+    """The orders, and a later version of them: some gone, some with another price, some twice, some new, some without a key."""
+    old = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    k = F.col("o_orderkey")
+    kept = old.where(k % 17 != 0).withColumn("o_totalprice", F.when(k % 13 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    lost = kept.withColumn("o_orderkey", F.when(k % 1009 != 5, k))
+    new = old.where(k % 19 == 0).withColumn("o_orderkey", -k - 1)
+    return old, lost.unionByName(kept.where(k % 97 == 0)).unionByName(new)
+
+
+def j03_difference(spark, d):
+    """What changed between the two versions of the orders."""
+    return difference.difference(*_versions(spark, d), ["o_orderkey"])
+
+
+def j03_applied(spark, d):
+    """The old version with the difference applied."""
+    old, new = _versions(spark, d)
+    return difference.apply(old, difference.difference(old, new, ["o_orderkey"]))
+
+
 _ORDERS = f"""o AS (SELECT o_orderkey AS order_id, o_custkey AS user_id, o_totalprice AS total, TIMESTAMP '{MONTH}'
     + to_days(CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 31 AS INTEGER)) + to_seconds((o_orderkey * 7919) % 86400) AS ordered FROM orders),
     v AS (SELECT *, ordered + to_minutes(order_id % 10 + 1) AS until FROM o)"""
 
+_NEW = """b AS (SELECT CASE WHEN o_orderkey % 1009 = 5 THEN NULL ELSE o_orderkey END AS o_orderkey, o_custkey, o_totalprice FROM kept
+    UNION ALL SELECT * FROM kept WHERE o_orderkey % 97 = 0 UNION ALL SELECT -o_orderkey - 1, o_custkey, o_totalprice FROM a WHERE o_orderkey % 19 = 0)"""
+_VERSIONS = f"""a AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders),
+    kept AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 13 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM a WHERE o_orderkey % 17 <> 0), {_NEW}"""
+
 ORACLES = {
+    "j03_difference": f"""WITH {_VERSIONS}, u AS (SELECT *, 1 AS o, 0 AS n FROM a UNION ALL SELECT *, 0, 1 FROM b),
+        r AS (SELECT o_orderkey, o_custkey, o_totalprice, sum(o) AS o, sum(n) AS n FROM u GROUP BY 1, 2, 3),
+        w AS (SELECT *, sum(o) OVER (PARTITION BY o_orderkey) AS os, sum(n) OVER (PARTITION BY o_orderkey) AS ns FROM r)
+        SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN os > 1 OR ns > 1 THEN 'repeated' WHEN os = 0 THEN 'insert' WHEN ns = 0 THEN 'delete'
+          WHEN o = 1 THEN 'update_from' ELSE 'update_to' END AS change, CAST(n - o AS BIGINT) AS copies FROM w WHERE n <> o""",
+    "j03_applied": f"WITH {_VERSIONS} SELECT * FROM b",
     "j01_asof_order_event": f"""WITH {_ORDERS}, m AS (SELECT order_id, user_id, (SELECT max(e.ts) FROM events e WHERE e.user_id = v.user_id AND e.ts < v.ordered) AS at FROM v)
         SELECT order_id, m.user_id, max(event_id) AS event_id, max_by(event_type, event_id) AS event_type, max_by(value, event_id) AS value
         FROM m LEFT JOIN events e ON e.user_id = m.user_id AND e.ts = m.at GROUP BY 1, 2""",
@@ -100,4 +132,4 @@ ORACLES = {
 }
 
 QUERIES = {f.__name__: f for f in (j01_asof_order_event, j01_asof_next_purchase, j01_asof_turns, j02_events_in_orders, j02_order_overlaps,
-                                   j02_turn_context)}
+                                   j02_turn_context, j03_difference, j03_applied)}
