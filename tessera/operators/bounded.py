@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, shared_dir
+
+
+def saved(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder: cuts lineage like a checkpoint, and later joins see its size."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", offset=None,

@@ -1,10 +1,8 @@
 """Store dimension: normalize, match, create, backfill, categorize, summarize.
 
 Matching is "store name contains the receipt's normalized name" (case-insensitive). A
-substring test cannot be an equi-join, so both sides are indexed by character n-grams:
-every n-gram of each store name, and for each normalized name its *rarest* n-gram (n = 3,
-or the whole name when shorter). The join on that gram is an equi-join whose candidate
-list is the shortest posting list; the exact ``contains`` check runs only on candidates.
+substring test cannot be an equi-join; it is a search in the sorted suffixes of the store names
+(``contains_match``), so what is looked at is what matches.
 """
 
 from __future__ import annotations
@@ -12,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.bounded import dense_ids
+from tessera.operators.asof import asof_join
+from tessera.operators.bounded import dense_ids, saved
 from tessera.operators.clean import strip_ws
 from tessera.session import ensure_checkpoint_dir
 
@@ -29,7 +28,6 @@ STORE_CATEGORIES = [
     ("Electronics", ["electronic", "tech", "computer", "mobile"]),
     ("Clothing", ["fashion", "apparel", "clothing", "boutique"]),
 ]
-GRAM = 3
 
 
 def normalize_name(name) -> Column:
@@ -64,45 +62,28 @@ def store_category(name) -> Column:
     return F.when(name.isNull() | (name == ""), "Other").otherwise(expr.otherwise("Other"))
 
 
-def _grams(text: Column, n: Column) -> Column:
-    """All substrings of length ``n`` (1-based positions)."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
-                       lambda i: F.substring(text, i, n))
-
-
 def contains_match(stores: DataFrame, names: DataFrame, store_id="id", store_name="name",
                    norm_col="norm", lowest: bool = False) -> DataFrame:
     """(norm, id) for every store whose lower-cased name contains ``norm`` (non-blank), or with ``lowest``
     for the lowest id alone.
 
-    A name of up to GRAM characters is a gram itself: its stores are its posting list, and
-    ``lowest`` needs one id a gram. Grams shorter than GRAM are posted only if such names exist.
+    A name contains ``norm`` where one of its suffixes begins with it. Suffixes and norms are sorted together once, and each suffix takes
+    the last norm before it (an as-of join on the text). A norm that the suffix begins with is that one or
+    one that that one begins with itself, so each norm carries the norms it begins with, and only those are tested.
     """
-    low = stores.select(F.col(store_id).alias("_sid"), F.lower(F.col(store_name)).alias("_low"))
-    wanted = names.select(norm_col).where(F.col(norm_col) != "").distinct()
-    lengths = sorted(r["n"] for r in wanted.select(F.least(F.length(norm_col), F.lit(GRAM)).alias("n")).distinct().collect())  # of 1..GRAM
-
-    def posting(n: int) -> DataFrame:
-        grams = F.explode(F.array_distinct(_grams(F.col("_low"), F.lit(n))))
-        return low.select("_sid", "_low", grams.alias("gram")).where(F.length("gram") == n)
-
-    out = None
-    for n in lengths or [GRAM]:
-        if n < GRAM:
-            part = wanted.where(F.length(norm_col) == n).join(posting(n).select(F.col("gram").alias(norm_col), "_sid"), norm_col)
-        else:
-            long = wanted.where(F.length(norm_col) >= GRAM)
-            post = posting(GRAM)
-            freq = post.groupBy("gram").agg(F.count(F.lit(1)).alias("_df"))
-            grams = long.select(norm_col, F.explode(F.array_distinct(_grams(F.col(norm_col), F.lit(GRAM)))).alias("gram"))
-            # the rarest gram of each name; a gram absent from every store means no match at all
-            scored = grams.join(freq, "gram", "left").withColumn("_df", F.coalesce("_df", F.lit(0)))
-            pick = scored.groupBy(norm_col).agg(F.min_by("gram", F.struct("_df", "gram")).alias("gram"),
-                                                F.min("_df").alias("_min_df")).where(F.col("_min_df") > 0)
-            part = pick.join(post, "gram").where(F.col("_low").contains(F.col(norm_col)))
-        part = part.groupBy(norm_col).agg(F.min("_sid").alias(store_id)) if lowest else part.select(norm_col, F.col("_sid").alias(store_id))
-        out = part if out is None else out.unionByName(part)
-    return out
+    low = stores.select(F.col(store_id).alias("_sid"), F.lower(F.col(store_name)).alias("_low")).where(F.length("_low") > 0)
+    wanted = saved(names.select(F.col(norm_col).alias("_norm")).where(F.col(norm_col) != "").distinct(), "norms")
+    longest = wanted.agg(F.coalesce(F.max(F.length("_norm")), F.lit(0))).first()[0]
+    starts = lambda text: F.sequence(F.lit(1), F.length(text))
+    begins = wanted.select("_norm", F.explode(F.transform(starts("_norm"), lambda i: F.substring("_norm", F.lit(1), i))).alias("_part"))
+    chains = begins.join(wanted.select(F.col("_norm").alias("_part")), "_part").groupBy("_norm").agg(F.collect_list("_part").alias("_chain"))
+    suffixes = low.select("_sid", F.explode(F.transform(starts("_low"), lambda i: F.substring("_low", i, F.lit(longest)))).alias("_suffix"))
+    if lowest:
+        suffixes = suffixes.groupBy("_suffix").agg(F.min("_sid").alias("_sid"))
+    met = asof_join(suffixes, chains, [], "_suffix", "_norm", allow_equal=True)
+    hits = met.select("_sid", F.explode(F.filter("_chain", lambda n: F.startswith(F.col("_suffix"), n))).alias(norm_col))
+    hits = hits.groupBy(norm_col).agg(F.min("_sid").alias(store_id)) if lowest else hits.select(norm_col, F.col("_sid").alias(store_id)).distinct()
+    return hits
 
 
 def match_existing(receipts: DataFrame, stores: DataFrame) -> DataFrame:
@@ -111,7 +92,7 @@ def match_existing(receipts: DataFrame, stores: DataFrame) -> DataFrame:
     Normalization and matching run once per distinct store name (a dimension), and the
     name → (norm, store id) map is joined back to the receipts (null-safe on the name).
     """
-    names = receipts.select("store_name").distinct().withColumn("norm", normalize_name("store_name"))
+    names = saved(receipts.select("store_name").distinct().withColumn("norm", normalize_name("store_name")), "stores")
     hits = contains_match(stores, names, lowest=True).withColumnRenamed("id", "store_id")
     name_map = names.join(hits, "norm", "left").withColumnRenamed("store_name", "_name")
     joined = receipts.join(name_map, receipts["store_name"].eqNullSafe(name_map["_name"]), "left")
@@ -129,23 +110,21 @@ def _creating_names(first: DataFrame, covers: DataFrame) -> DataFrame:
     later = first.select(F.col("store_name").alias("later"), "norm", F.col("receipt_id").alias("_at"))
     earlier = first.select(F.col("store_name").alias("earlier"), F.col("receipt_id").alias("_before"))
     by_norm = covers.select("norm", F.col("name").alias("earlier"))
-    pairs = (later.join(by_norm, "norm").join(earlier, "earlier").where(F.col("_before") < F.col("_at"))
-             .select("later", "earlier").checkpoint(eager=True))
+    pairs = saved(later.join(by_norm, "norm").join(earlier, "earlier").where(F.col("_before") < F.col("_at")).select("later", "earlier"), "stores")
     open_names = first.select("store_name")
     creating = None
     while True:
-        made = open_names.join(pairs.select(F.col("later").alias("store_name")), "store_name", "left_anti").checkpoint(eager=True)
+        made = saved(open_names.join(pairs.select(F.col("later").alias("store_name")), "store_name", "left_anti"), "stores")
         creating = made if creating is None else creating.unionByName(made)
-        covered = pairs.join(made.withColumnRenamed("store_name", "earlier"), "earlier").select(
-            F.col("later").alias("store_name")).distinct().checkpoint(eager=True)
+        covered = saved(pairs.join(made.withColumnRenamed("store_name", "earlier"), "earlier").select(F.col("later").alias("store_name")).distinct(), "stores")
         decided = made.unionByName(covered)
-        open_names = open_names.join(decided, "store_name", "left_anti").checkpoint(eager=True)
+        open_names = saved(open_names.join(decided, "store_name", "left_anti"), "stores")
         if open_names.isEmpty():
             return creating
         # pairs of undecided names only: a covered name creates nothing and so covers nothing
         left = open_names.select("store_name")
-        pairs = pairs.join(left.withColumnRenamed("store_name", "later"), "later").join(
-            left.withColumnRenamed("store_name", "earlier"), "earlier").select("later", "earlier").checkpoint(eager=True)
+        pairs = saved(pairs.join(left.withColumnRenamed("store_name", "later"), "later").join(
+            left.withColumnRenamed("store_name", "earlier"), "earlier").select("later", "earlier"), "stores")
 
 
 def create_missing(receipts: DataFrame, stores: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,23 +141,24 @@ def create_missing(receipts: DataFrame, stores: DataFrame) -> tuple[DataFrame, D
     """
     # used several times below: written once to the shared checkpoint folder (cuts lineage too)
     ensure_checkpoint_dir(receipts.sparkSession)
-    matched = match_existing(receipts, stores).checkpoint(eager=True)
+    receipts, stores = saved(receipts, "stores"), saved(stores.select("id", "name"), "stores")
+    matched = saved(match_existing(receipts, stores), "stores")
     rest = matched.where(F.col("store_id").isNull() & (F.col("norm") != ""))
-    first = rest.groupBy("store_name", "norm").agg(F.min("receipt_id").alias("receipt_id")).checkpoint(eager=True)
-    covers = contains_match(first.select(F.col("store_name").alias("id"), F.col("store_name").alias("name")).distinct(),
-                            first.select("norm").distinct()).withColumnRenamed("id", "name").checkpoint(eager=True)
+    first = saved(rest.groupBy("store_name", "norm").agg(F.min("receipt_id").alias("receipt_id")), "stores")
+    covers = saved(contains_match(first.select(F.col("store_name").alias("id"), F.col("store_name").alias("name")).distinct(),
+                                  first.select("norm").distinct()).withColumnRenamed("id", "name"), "stores")
     creating = _creating_names(first, covers)
     earliest = (covers.join(first.join(creating, "store_name").select(F.col("store_name").alias("name"), "receipt_id"), "name")
                 .groupBy("norm").agg(F.min("receipt_id").alias("_from")))
     # a receipt links to the earliest creating receipt that covers it, or creates
-    linked = matched.join(earliest, "norm", "left").withColumn("_from", F.when(
-        F.col("store_id").isNull() & (F.col("norm") != ""), F.least(F.coalesce("_from", "receipt_id"), F.col("receipt_id")))).checkpoint(eager=True)
+    linked = saved(matched.join(earliest, "norm", "left").withColumn("_from", F.when(
+        F.col("store_id").isNull() & (F.col("norm") != ""), F.least(F.coalesce("_from", "receipt_id"), F.col("receipt_id")))), "stores")
     start = stores.select(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
     makers = linked.where(F.col("_from") == F.col("receipt_id")).select("receipt_id", "store_name", "store_address").distinct()
     new = dense_ids(makers, ["receipt_id"], "id", offset=start).select(
         "id", F.col("store_name").alias("name"), F.col("store_address").alias("address"),
         store_category(F.col("store_name")).alias("category"), F.col("receipt_id").alias("first_receipt"))
-    new = new.checkpoint(eager=True)
+    new = saved(new, "stores")
     ids = new.select(F.col("id").alias("new_id"), F.col("first_receipt").alias("_from"))
     out = linked.join(ids, "_from", "left").withColumn("store_id", F.coalesce("store_id", "new_id"))
     return out.select(*matched.columns), new.drop("first_receipt")
