@@ -163,35 +163,32 @@ def store_address_of(flagged: Column) -> Column:
     return F.when(F.size(picked) > 0, F.array_join(picked, ", "))
 
 
-def _format_regex(fmt: str) -> tuple[str, list[str]]:
-    """Shape of a strptime format as an anchored regex with groups, and the group roles."""
-    sep = fmt[2]
-    parts = fmt.split(sep)
-    width = {"%d": r"(\d{1,2})", "%m": r"(\d{1,2})", "%Y": r"(\d{4})", "%y": r"(\d{2})"}
-    return "^" + ("\\" + sep).join(width[p] for p in parts) + "$", parts
+_DATE_SHAPE = r"^\d{1,4}([-/.])\d{1,2}\1\d{1,4}$"
 
 
-def _parse_formats(s: Column) -> Column:
-    """First of the 15 formats that parses ``s`` (two-digit years pivot at 69, as strptime).
+def _date_parts(s: Column) -> Column:
+    """Separator, lengths and numbers of a text of date shape, read once; null for other texts."""
+    part = lambda i: F.element_at(F.split(s, "[-/.]"), i)
+    fields = [F.struct(F.length(part(i)).alias("len"), part(i).cast("int").alias("n")).alias(f"p{i}") for i in (1, 2, 3)]
+    return F.when(s.rlike(_DATE_SHAPE), F.struct(F.regexp_extract(s, "[-/.]", 0).alias("sep"), *fields))
 
-    Per format: the anchored shape test, a group reorder to year-month-day, one lenient
-    parse (which also rejects impossible days), and the strptime year range."""
-    out = None
+
+def _parse_formats(x: Column) -> Column:
+    """First of the 15 formats that fits the parts (two-digit years pivot at 69, as strptime). At most three fit any
+    shape, and only those are made into dates (which rejects impossible ones, and the year 0)."""
+    out = []
     for fmt in DATE_FORMATS:
-        rx, roles = _format_regex(fmt)
-        group = {r: i + 1 for i, r in enumerate(roles)}
-        if "%Y" in group:
-            ymd = F.regexp_replace(s, rx, f"${group['%Y']}-${group['%m']}-${group['%d']}")
-            ts = F.try_to_timestamp(ymd, F.lit("yyyy-M-d"))
-            ok = s.rlike(rx) & (F.regexp_extract(s, rx, group["%Y"]) != "0000")
-        else:
-            ymd = F.regexp_replace(s, rx, f"${group['%y']}-${group['%m']}-${group['%d']}")
-            parsed = F.try_to_timestamp(ymd, F.lit("yy-M-d"))  # years 2000-2099
-            ts = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200).cast("timestamp")).otherwise(parsed)
-            ok = s.rlike(rx)
-        val = F.when(ok, ts.cast("timestamp_ntz"))
-        out = val if out is None else F.coalesce(out, val)
-    return out
+        roles = fmt.split(fmt[2])
+        ok, value = x["sep"] == fmt[2], {}
+        for i, role in enumerate(roles):
+            p = x[f"p{i + 1}"]
+            ok = ok & (p["len"] == {"%Y": 4, "%y": 2}[role] if role in ("%Y", "%y") else p["len"] <= 2)
+            value[role] = p["n"]
+        year = value["%Y"] if "%Y" in value else value["%y"] + F.when(value["%y"] >= 69, 1900).otherwise(2000)
+        zero = F.lit(0)
+        made = F.try_make_timestamp_ntz(F.when(year > 0, year), value["%m"], value["%d"], zero, zero, zero)
+        out.append(F.when(ok, made))
+    return F.coalesce(*out)
 
 
 def receipt_date(lines: Column, as_of: str) -> Column:
@@ -203,7 +200,8 @@ def receipt_date(lines: Column, as_of: str) -> Column:
         def norm(m):
             return F.regexp_replace(strip(F.regexp_replace(m, _u(r"[^\d\-/.]"), " ")), _u(r"\s+"), "-")
         normed = F.transform(matches, norm)
-        parsed = F.filter(F.transform(normed, _parse_formats), lambda d: d.isNotNull())
+        shaped = F.filter(F.transform(normed, _date_parts), lambda x: x.isNotNull())
+        parsed = F.filter(F.transform(shaped, _parse_formats), lambda d: d.isNotNull())
         per_pattern.append(F.try_element_at(parsed, F.lit(1)))
     return F.coalesce(*per_pattern, F.lit(as_of).cast("timestamp_ntz"))
 
