@@ -104,11 +104,14 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, l2: float = 2e-5,
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         sample_rows: int = 6_000, max_features: int = 512, grades: int = 3) -> SeverityModel:
     """A model from at most ``sample_rows`` labelled documents. Without both labels (or an empty
-    table) the model marks nothing. Rows with a null id, label or text aren't used."""
+    table) the model marks nothing. Rows with a null id, label or text aren't used; of documents that share
+    an id and a label one is used, by a hash of the text, so that repeated ids don't widen the sample."""
     chosen = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
               .where("doc_id is not null and y is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample_rows))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
-    sample = written(texts.join(F.broadcast(chosen), "doc_id").select("y", "text"), "toxicity-sample")
+    # a text per chosen id and label: sample_rows at most, whatever the rows of an id
+    one = texts.join(F.broadcast(chosen.distinct()), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = written(one.select("y", "text"), "toxicity-sample")
     by_y = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = by_y.get(1, 0), by_y.get(0, 0)
     if not n1 or not n0:
@@ -151,22 +154,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", text_col: str = "text", at: float = 0.3) -> DataFrame:
     """One row per input row: doc_id, severity (expected grade, 0 to the highest), p_toxic (P(grade >= 1)),
     toxic (p_toxic >= ``at``). Null and empty texts score as texts without any feature; repeated rows
-    stay; other columns are ignored."""
-    s = _scored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", model, at)
-    return s.select("doc_id", "_tox.severity", "_tox.p_toxic", "_tox.toxic")
+    stay; other columns are ignored; an empty table gives no rows."""
+    s, tox = _scored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", model, at)
+    return s.select("doc_id", f"{tox}.severity", f"{tox}.p_toxic", f"{tox}.toxic")
 
 
-def _scored(docs: DataFrame, text_col: str, model: SeverityModel, at: float) -> DataFrame:
+def _scored(docs: DataFrame, text_col: str, model: SeverityModel, at: float) -> tuple[DataFrame, str]:
+    """``docs`` with the model's figures in a column of its own, and that column's name."""
     @F.pandas_udf("severity double, p_toxic double, toxic boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             p = model.at_least(np.array([model.latent(t) for t in texts], float))
             yield pd.DataFrame({"severity": p.sum(1), "p_toxic": p[:, 0], "toxic": p[:, 0] >= at})
 
-    return docs.withColumn("_tox", run(F.coalesce(F.col(text_col), F.lit(""))))
+    name = "_tox"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, run(F.coalesce(F.col(text_col), F.lit("")))), name
 
 
 def keep_clean(docs: DataFrame, model: SeverityModel, text_col: str = "text", at: float = 0.3) -> DataFrame:
-    """``docs`` without the rows marked toxic, columns as they were."""
+    """``docs`` without the rows marked toxic, columns as they were, whatever their names. Null and empty texts stay,
+    repeated rows are judged alike, an empty table gives no rows."""
     names = docs.columns
-    return _scored(docs, text_col, model, at).where("not _tox.toxic").select(*[f"`{c}`" for c in names])
+    s, tox = _scored(docs, text_col, model, at)
+    return s.where(f"not {tox}.toxic").select(*[f"`{c}`" for c in names])

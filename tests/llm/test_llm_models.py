@@ -58,6 +58,33 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(0 <= r.severity <= 3 and 0 <= r.p_toxic <= 1 for r in got.values())
 
 
+def test_toxicity_sample_is_bounded_when_an_id_repeats(spark, monkeypatch):
+    rows, marks = toxic_rows()
+    rows = rows[:200] + [(7, f"word{i % 50} again")  for i in range(20_000)] + [(5, rows[5][1])] * 3000
+    sizes, plain = [], toxicity.written
+
+    def seen(df, purpose):
+        out = plain(df, purpose)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(toxicity, "written", seen)
+    model = toxicity.fit(documents(spark, rows), labelled(spark, marks[:200] + [(7, 1, 0), (7, 1, 1)]), sample_rows=100)
+    assert max(sizes) <= 100 and model.features
+
+
+def test_toxicity_of_clashing_names_and_empty_tables(spark):
+    rows, marks = toxic_rows()
+    model = toxicity.fit(documents(spark, rows[:200]), labelled(spark, marks[:200]))
+    odd = documents(spark, rows[200:] + [(None, None), (901, "")]).withColumnsRenamed({"batch": "_tox", "row": "_tox_"})
+    kept = toxicity.keep_clean(odd, model)
+    assert kept.columns == odd.columns and kept.schema == odd.schema
+    clean = {i for i, _, t in marks[200:] if not t} | {None, 901}
+    assert {r.doc_id for r in kept.collect()} == clean
+    none = documents(spark, [])
+    assert toxicity.score(none, model).count() == toxicity.keep_clean(none, model).count() == 0
+
+
 def test_toxicity_without_labels_marks_nothing(spark):
     for marks in ([], [(4, 1, 0), (5, 1, 0)]):
         model = toxicity.fit(documents(spark), labelled(spark, marks))
