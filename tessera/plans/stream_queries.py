@@ -22,7 +22,7 @@ def _events(spark, d):
 def _counts_table(spark, d, key_expr, name):
     s = _events(spark, d).select(key_expr.alias("key"))
     path = T.run_to_table(T.running_counts(s, "key"), shared_dir(spark, name), "complete", name)
-    return spark.read.parquet(path)
+    return T.latest(spark, path)
 
 
 def s02_incremental_scan(spark, d):
@@ -38,13 +38,13 @@ def t01_running_counts(spark, d):
 
 def t02_running_nulls(spark, d):
     path = T.run_to_table(T.running_nulls(_events(spark, d)), shared_dir(spark, "t02"), "complete", "t02")
-    return spark.read.parquet(path)
+    return T.latest(spark, path)
 
 
 def t03_running_distinct(spark, d):
     path = T.run_to_table(T.running_distinct(_events(spark, d), "user_id"), shared_dir(spark, "t03"),
                           "complete", "t03")
-    return spark.read.parquet(path)
+    return T.latest(spark, path)
 
 
 def t04_batch_validation(spark, d):
@@ -67,7 +67,7 @@ def t06_stream_equals_batch(spark, d):
     agg = _events(spark, d).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
                                                       F.round(F.sum("value"), 4).alias("value_sum"))
     path = T.run_to_table(agg, shared_dir(spark, "t06"), "complete", "t06")
-    return spark.read.parquet(path)
+    return T.latest(spark, path)
 
 
 CHUNKS = 5  # files the customers arrive in
@@ -84,17 +84,17 @@ def _customers(spark, d, columns=CUSTOMER_COLUMNS):
 
 def _customer_counts(spark, d):
     counts = T.customer_counters(_customers(spark, d)).groupBy("counter", "value").agg(F.count(F.lit(1)).alias("count"))
-    return spark.read.parquet(T.run_to_table(counts, shared_dir(spark, "t01c"), "complete", "t01c"))
+    return T.latest(spark, T.run_to_table(counts, shared_dir(spark, "t01c"), "complete", "t01c"))
 
 
 def _customer_flags(spark, d):
     flags = T.running_nulls(_customers(spark, d), "phone_1")
-    return spark.read.parquet(T.run_to_table(flags, shared_dir(spark, "t02c"), "complete", "t02c"))
+    return T.latest(spark, T.run_to_table(flags, shared_dir(spark, "t02c"), "complete", "t02c"))
 
 
 def _customer_ids(spark, d):
     ids = T.running_distinct(_customers(spark, d, ["customer_id"]), "customer_id")
-    return spark.read.parquet(T.run_to_table(ids, shared_dir(spark, "t03c"), "complete", "t03c"))
+    return T.latest(spark, T.run_to_table(ids, shared_dir(spark, "t03c"), "complete", "t03c"))
 
 
 def t01_customer_counters(spark, d):

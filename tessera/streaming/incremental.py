@@ -40,18 +40,15 @@ def _run(query: StreamingQuery) -> None:
 
 
 def run_to_table(stream: DataFrame, out_path: str, mode: str = "complete", name: str = "stream", checkpoint: str | None = None) -> str:
-    """Run a streaming query to completion; every micro-batch overwrites (complete/update
-    results) or appends under its ``batch_id`` (append), so a replayed batch is idempotent.
+    """Run a streaming query to completion. Every micro-batch writes under its ``batch_id``, so a replayed batch is idempotent:
+    its own rows (append), or a whole version of the result (complete), of which ``latest`` reads the last. A
+    version that readers see isn't written again while later ones come.
     With a ``checkpoint`` folder of its own a later run goes on where this one ended."""
     spark = stream.sparkSession
     ckpt = checkpoint or shared_dir(spark, f"stream-ckpt-{name}")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        if mode == "append":
-            (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .parquet(f"{out_path}/batch_id={batch_id}"))
-        else:
-            df.write.mode("overwrite").parquet(out_path)
+        df.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     q = (stream.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -59,6 +56,12 @@ def run_to_table(stream: DataFrame, out_path: str, mode: str = "complete", name:
     return out_path
 
 
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The last version of a complete result."""
+    versions = spark.read.parquet(path)
+    return versions.where(F.col("batch_id") == versions.select(F.max("batch_id")).scalar()).drop("batch_id")
+
+
 def running_counts(stream: DataFrame, key: str) -> DataFrame:
     """Running value counts of ``key`` (nulls skipped)."""
     return stream.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("count"))
