@@ -40,8 +40,8 @@ def build(vectors: DataFrame, id_col: str = "id", vec_col: str = "embedding", pi
     chosen = saved(rows.where(placed).orderBy(F.xxhash64("id"), "id").limit(pivots).select("dim", normalize("v").alias("u"))
                    .withColumn("p", F.row_number().over(Window.orderBy("dim", "u"))), "pivots")  # a bounded list
     every = chosen.agg(F.collect_list(F.struct("p", "dim", "u"))).select(F.col("collect_list(struct(p, dim, u))")).scalar()
-    near = F.array_max(F.transform(F.filter(F.col("_p"), lambda x: x["dim"] == F.col("dim")), lambda x: F.struct(dot("_u", x["u"]).alias("s"), x["p"].alias("p"))))
-    at = rows.withColumns({"_p": every, "_u": F.when(placed, normalize("v"))}).withColumn("_n", F.when(placed, near))
+    near = F.array_max(F.transform(F.filter(F.col("_p"), lambda x: x["dim"] == F.col("dim")), lambda x: F.struct((dot("v", x["u"]) / F.col("vn")).alias("s"), x["p"].alias("p"))))
+    at = rows.withColumn("_p", every).withColumn("_n", F.when(placed, near))
     at = at.select("id", "v", "vn", "dim", F.coalesce("_n.p", F.lit(LOOSE)).alias("grp"), F.col("_n.s").alias("s"))
     path = shared_dir(spark, "vector-index")
     at.write.partitionBy("grp").parquet(path)
@@ -68,7 +68,7 @@ def search(index: VectorIndex, queries: DataFrame, k: int = 5, min_similarity: f
     g = index.groups
     # a group of vectors without a place may hold any length: it has no dim
     pairs = q.join(g, (g["dim"] == q["qdim"])).unionByName(q.withColumn("_all", F.lit(LOOSE)).join(g.where(F.col("grp") == LOOSE), F.col("_all") == F.col("grp")).drop("_all"))
-    apart = F.sqrt(F.greatest(2 - 2 * dot("centre", normalize("q")), F.lit(0.0)))
+    apart = F.sqrt(F.greatest(2 - 2 * F.try_divide(dot("centre", "q"), F.col("qn")), F.lit(0.0)))
     gap = F.greatest(apart - F.col("radius") - SLACK, F.lit(0.0))
     known = F.col("centre").isNotNull() & (F.col("qn") > 0) & is_valid_embedding("q")
     bound = F.when(~known, F.lit(float("inf"))).otherwise(1 - gap * gap / 2 + SLACK)
