@@ -3,8 +3,8 @@
 Once a normalized name has met a store that contains it, later receipts of that name link to the same store (new
 stores get higher ids), so only receipts of names not seen yet have to be matched. A stateful processor keeps, per
 normalized name, what has been seen (typed state) and forgets names after a time of silence (an event-time timer on the time of the batches). Forgetting is
-harmless: the name is asked for again and finds its store. A hot name is dealt to several keys by a hash of
-the receipt, at the price of one question per key.
+harmless: the name is asked for again and finds its store. The keys are buckets of names by hash, as a key's state goes to Python
+and back once a batch. A hot name is dealt to several buckets by a hash of the receipt, at the price of one question per bucket.
 
 Each batch asks the store table of the batches before it and writes what it decides (questions, new stores, links)
 under its batch id; a replayed batch reads and writes the same again.
@@ -17,54 +17,47 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tessera.operators.stores import create_missing, normalize_name
 from tessera.session import shared_dir
 from tessera.streaming.incremental import _run
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"  # stateful processors need it
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"  # state beyond the heap
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+SEEN = "norm array<string>, receipt_id array<long>, at array<long>"
 ROWS = "receipt_id long, store_name string, store_address string, norm string, ask boolean, covers boolean"
 TABLES = {"rows": ROWS, "new": "id long, name string, address string, category string", "links": "receipt_id long, store_id long",
           "decided": "norm string, store_id long", "old": "id long, name string, address string, category string"}
 
 
 def _seen_names(keep_ms: int):
-    """The processor, made here so that it travels to the executors by value."""
-    from pyspark.sql.streaming import StatefulProcessor
-
-    class SeenNames(StatefulProcessor):
-        def init(self, handle) -> None:
-            self.handle = handle
-            self.seen = handle.getValueState("seen", "receipt_id long, at long")
-
-        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            known, first, now = self.seen.get() if self.seen.exists() else None, None, None
-            for pdf in rows:
-                covering = pdf.loc[pdf["covers"], "receipt_id"]
-                if len(covering):
-                    first = covering.min() if first is None else min(first, covering.min())
-                now = int(pdf["at"].iloc[0])  # one time for a batch
-                yield pdf.assign(ask=(known is None) & (pdf["norm"] != ""))[["receipt_id", "store_name", "store_address", "norm", "ask", "covers"]]
-            if known is not None:
-                self.seen.update((known[0], now))
-            elif first is not None:
-                self.seen.update((int(first), now))
-                self.handle.registerTimer(now + keep_ms)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            if self.seen.exists():
-                last = self.seen.get()[1]
-                if last + keep_ms <= expiredTimerInfo.getExpiryTimeInMs():
-                    self.seen.clear()
-                else:
-                    self.handle.registerTimer(last + keep_ms)
-            return iter(())
-
-        def close(self) -> None:
-            pass
-
-    return SeenNames()
+    """The processor, made here so that it travels to the executors by value. Its key is a bucket of names: all names of a
+    bucket are looked up, added and forgotten together, so a batch costs one state access per bucket and not several per name."""
+
+    def follow(key, rows: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        names, first, at = state.get if state.exists else ([], [], [])
+        seen = pd.DataFrame({"receipt_id": pd.array(first, "Int64"), "at": pd.array(at, "int64")}, index=pd.Index(names, dtype=object))
+        covering, now = [], None
+        for pdf in rows:
+            if pdf.empty:  # a bucket whose timer has gone off
+                continue
+            now = int(pdf["at"].iloc[0])  # one time for a batch
+            known = pdf["norm"].isin(seen.index)
+            seen.loc[seen.index.isin(pdf["norm"]), "at"] = now
+            covering.append(pdf.loc[pdf["covers"] & ~known, ["norm", "receipt_id"]].groupby("norm")["receipt_id"].min().astype("Int64"))
+            yield pdf.assign(ask=~known & (pdf["norm"] != ""))[["receipt_id", "store_name", "store_address", "norm", "ask", "covers"]]
+        if covering:  # known from the next batch on
+            new = pd.concat(covering).groupby(level=0).min()
+            seen = pd.concat([seen, pd.DataFrame({"receipt_id": new, "at": now})]) if len(new) else seen
+        seen = seen[seen["at"] + keep_ms > state.getCurrentWatermarkMs()]
+        if len(seen):
+            state.update((list(seen.index), [None if pd.isna(i) else int(i) for i in seen["receipt_id"]], [int(t) for t in seen["at"]]))
+            state.setTimeoutTimestamp(int(seen["at"].min()) + keep_ms)
+        elif state.exists:
+            state.remove()
+
+    return follow
 
 
 class Results:
@@ -108,12 +101,12 @@ def decide(results: Results, batch: int) -> None:
 
 
 def stream_stores(receipts: DataFrame, stores: DataFrame, keep_ms: int = 7 * 86_400_000, salts: int = 4, path: str | None = None,
-                  checkpoint: str | None = None) -> Results:
+                  checkpoint: str | None = None, buckets: int = 256) -> Results:
     """Runs the stream of ``receipts`` (receipt_id, store_name, store_address) to its end: links and new stores equal those of
     ``create_missing`` over all receipts if they arrive in order of their ids.
 
     Receipts with a null or blank name get no store (their link is null). ``keep_ms`` is how long a silent name is remembered,
-    ``salts`` the keys that one name's receipts are dealt to. With ``path`` and ``checkpoint`` of an earlier run it goes on there.
+    ``salts`` the buckets that one name's receipts are dealt to, of ``buckets`` for all names. With ``path`` and ``checkpoint`` of an earlier run it goes on there.
     """
     spark = receipts.sparkSession
     results = Results(spark, path or shared_dir(spark, "stream-stores"))
@@ -124,17 +117,18 @@ def stream_stores(receipts: DataFrame, stores: DataFrame, keep_ms: int = 7 * 86_
     rows = rows.withColumn("covers", F.coalesce(low.contains(F.col("norm")) & (F.col("norm") != ""), F.lit(False)))
     # the time of the batch is the event time: it only rises, so no receipt is ever late, and a replay finds the same
     rows = rows.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "0 seconds").withColumn("at", F.unix_millis("arrived"))
-    keyed = rows.withColumn("salt", F.pmod(F.xxhash64("receipt_id"), F.lit(salts))).groupBy("norm", "salt")
+    salt = F.pmod(F.xxhash64("receipt_id"), F.lit(salts))
+    keyed = rows.withColumn("bucket", F.pmod(F.xxhash64("norm", salt), F.lit(buckets))).groupBy("bucket")
 
     def sink(df: DataFrame, batch_id: int) -> None:
         own = Results(df.sparkSession, results.path)
         own.write(df, "rows", batch_id)  # the only action on the stream's rows: its state moves once
-        decide(own, batch_id)
+        decide(results, batch_id)  # over written tables, in the given session: a stream's own runs without adaptive execution
 
     before = spark.conf.get(PROVIDER)
     spark.conf.set(PROVIDER, ROCKS)
     try:
-        stream = keyed.transformWithStateInPandas(_seen_names(keep_ms), ROWS, "append", "eventTime")
+        stream = keyed.applyInPandasWithState(_seen_names(keep_ms), ROWS, SEEN, "append", GroupStateTimeout.EventTimeTimeout)
         _run(stream.writeStream.outputMode("append").foreachBatch(sink)
              .option("checkpointLocation", checkpoint or shared_dir(spark, "stream-stores-ckpt")).trigger(availableNow=True).start())
     finally:
