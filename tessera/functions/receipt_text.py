@@ -39,6 +39,8 @@ IGNORE_PATTERNS = [
 ]
 IGNORE_KEYWORDS = ["total", "subtotal", "tax", "change", "cash", "credit", "debit", "receipt", "thank you",
                    "cashier", "transaction", "invoice", "gst", "amount", "paid", "rounding", "balance"]
+# a line that one of the other patterns fits holds one of the keywords, which are looked for first
+IGNORE_RARE = [p for p in IGNORE_PATTERNS if not any(w in p for w in IGNORE_KEYWORDS)]
 QTY_PATTERNS = [r"(\d+)\s*x\s*", r"(\d+)\s*@\s*", r"(\d+)\s+qty", r"qty\s*(\d+)"]
 ITEM_CATEGORIES = [
     ("Stationery", ["pencil", "pen", "paper", "notebook", "eraser", "ruler", "stapler", "faber", "castell",
@@ -76,8 +78,8 @@ def strip(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    """``' '.join(line.split())``."""
-    return strip(F.regexp_replace(c, _u(r"\s+"), " "))
+    """``' '.join(line.split())``; single spaces aren't touched, and only spaces are left to trim."""
+    return F.trim(F.regexp_replace(c, _u(r" \s+|[\s&&[^ ]]\s*"), " "))
 
 
 def _fix_pass(line: Column, pattern: str) -> Column:
@@ -87,35 +89,42 @@ def _fix_pass(line: Column, pattern: str) -> Column:
     return F.array_join(F.zip_with(pieces, fixed, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
-# A line can change only if some number-like token holds one of the look-alike letters;
-# testing that first (one cached pattern) skips the split/extract work on almost every line.
+# A text can change only if some number-like token holds one of the look-alike letters;
+# testing that first (one cached pattern) skips the split/extract work on almost every text.
 _OCR_SUSPECT = r"[OolIS][\dOolIS]*\.[\dOolIS]+|[\dOolIS]+\.[\dOolIS]*[OolIS]"
 
 
-def ocr_fix(line: Column) -> Column:
-    """R2: digits repaired inside price-like tokens, then inside bounded decimals."""
-    return F.when(line.rlike(_u(_OCR_SUSPECT)), _fix_pass(_fix_pass(line, OCR_PRICE), OCR_DECIMAL)).otherwise(line)
+def ocr_fix(text: Column) -> Column:
+    """R2: digits repaired inside price-like tokens, then inside bounded decimals. No token reaches over a line's
+    end, so a text of many lines is repaired as its lines are."""
+    return F.when(text.rlike(_u(_OCR_SUSPECT)), _fix_pass(_fix_pass(text, OCR_PRICE), OCR_DECIMAL)).otherwise(text)
 
 
-def clean_lines(text: Column, fix_ocr: bool = True) -> Column:
-    """R1 (+R2): split on newlines, strip, collapse spaces, drop empty lines."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), collapse)
-    if fix_ocr:
-        lines = F.transform(lines, ocr_fix)
-    return F.filter(lines, lambda x: x != "")
+def collapsed_text(text: Column) -> Column:
+    """R1 over the whole text: lines stripped, spaces in them collapsed, empty lines dropped."""
+    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), _u(r" [\s&&[^\n]]+|[\s&&[^ \n]][\s&&[^\n]]*"), " ")
+    return F.btrim(F.regexp_replace(spaced, r" \n[ \n]*|\n[ \n]+", "\n"), F.lit(" \n"))
 
 
-def _indexed(lines: Column) -> Column:
-    return F.transform(lines, lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
+def lines_of(clean_text: Column) -> Column:
+    return F.filter(F.split(clean_text, "\n", -1), lambda x: x != "")
+
+
+def clean_lines(text: Column, fix_ocr: bool = True) -> Column:
+    """R1 (+R2): split on newlines, strip, collapse spaces, drop empty lines."""
+    clean = collapsed_text(text)
+    return lines_of(ocr_fix(clean) if fix_ocr else clean)
 
 
 def store_flags(lines: Column) -> Column:
     """First 8 lines with their flags, each computed once per line (R4/R5 share it)."""
-    def flags(x, i):
-        low = F.lower(x)
-        return F.struct(i.alias("pos"), x.alias("line"), low.alias("low"),
+    def lowered(x, i):
+        return F.struct(i.alias("pos"), x.alias("line"), F.lower(x).alias("low"))
+    def flags(s):
+        x = s["line"]
+        return F.struct(s["pos"].alias("pos"), x.alias("line"), s["low"].alias("low"),
                         ((F.length(x) >= 3) & ~x.rlike(_u(r"^\d+$"))).alias("eligible"),
-                        _any(low, STORE_KEYWORDS).alias("kw"))
+                        _any(s["low"], STORE_KEYWORDS).alias("kw"))
     def business(s):
         x = s["line"]
         return F.struct(s["pos"].alias("pos"), x.alias("line"), s["low"].alias("low"), s["eligible"].alias("eligible"),
@@ -124,7 +133,7 @@ def store_flags(lines: Column) -> Column:
                         (~s["kw"] & (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) >= 1)
                          & ~x.rlike(_u(r"^[\d\s\-\.]+$"))
                          & ~_any(s["low"], STORE_SKIP_WORDS)).alias("biz"))
-    return F.transform(F.transform(F.slice(lines, 1, 8), flags), business)
+    return F.transform(F.transform(F.transform(F.slice(lines, 1, 8), lowered), flags), business)
 
 
 def store_name(lines: Column) -> Column:
@@ -151,7 +160,7 @@ def store_address_of(flagged: Column) -> Column:
     address shape before index 7 are collected."""
     def is_addr(s):
         x = s["line"]
-        return x.rlike(_u(r"\d+.*\w+")) | _any(s["low"], ADDRESS_WORDS) | x.rlike(_u(r"\d{5}"))
+        return _any(s["low"], ADDRESS_WORDS) | x.rlike(_u(r"\d.*\w"))  # five digits are a digit and a word character, too
 
     start = F.struct(F.lit(False).alias("found"), F.array().cast("array<string>").alias("acc"))
 
@@ -167,10 +176,14 @@ _DATE_SHAPE = r"^\d{1,4}([-/.])\d{1,2}\1\d{1,4}$"
 
 
 def _date_parts(s: Column) -> Column:
-    """Separator, lengths and numbers of a text of date shape, read once; null for other texts."""
-    part = lambda i: F.element_at(F.split(s, "[-/.]"), i)
-    fields = [F.struct(F.length(part(i)).alias("len"), part(i).cast("int").alias("n")).alias(f"p{i}") for i in (1, 2, 3)]
-    return F.when(s.rlike(_DATE_SHAPE), F.struct(F.regexp_extract(s, "[-/.]", 0).alias("sep"), *fields))
+    """Separator and the three parts of a text of date shape."""
+    return F.struct(F.regexp_extract(s, "[-/.]", 0).alias("sep"), F.split(s, "[-/.]").alias("parts"))
+
+
+def _date_fields(x: Column) -> Column:
+    """Lengths and numbers of the parts, read once."""
+    fields = [F.struct(F.length(x["parts"][i]).alias("len"), x["parts"][i].cast("int").alias("n")).alias(f"p{i + 1}") for i in range(3)]
+    return F.struct(x["sep"].alias("sep"), *fields)
 
 
 def _parse_formats(x: Column) -> Column:
@@ -193,108 +206,131 @@ def _parse_formats(x: Column) -> Column:
 
 def receipt_date(lines: Column, as_of: str) -> Column:
     """Patterns in order, their matches in order, formats in order; else ``as_of``."""
-    text = F.array_join(lines, "\n")
+    return receipt_date_of(F.array_join(lines, "\n"), as_of)
+
+
+def receipt_date_of(text: Column, as_of: str) -> Column:
     per_pattern = []
     for p in DATE_PATTERNS:
         matches = F.regexp_extract_all(text, F.lit(_u(p)), 1)
         def norm(m):
             return F.regexp_replace(strip(F.regexp_replace(m, _u(r"[^\d\-/.]"), " ")), _u(r"\s+"), "-")
         normed = F.transform(matches, norm)
-        shaped = F.filter(F.transform(normed, _date_parts), lambda x: x.isNotNull())
+        shaped = F.transform(F.transform(F.filter(normed, lambda x: x.rlike(_DATE_SHAPE)), _date_parts), _date_fields)
         parsed = F.filter(F.transform(shaped, _parse_formats), lambda d: d.isNotNull())
         per_pattern.append(F.try_element_at(parsed, F.lit(1)))
     return F.coalesce(*per_pattern, F.lit(as_of).cast("timestamp_ntz"))
 
 
-def _last_price(line: Column) -> Column:
-    return to_double(F.try_element_at(F.regexp_extract_all(line, F.lit(_u(PRICE)), 1), F.lit(-1)))
+def priced_lines(lines: Column) -> Column:
+    """The lines with a price: position, text, lower-case text and all prices. What amounts and items are read from."""
+    def prices_of(x, i):
+        return F.struct(i.alias("pos"), x.alias("line"), F.when(x.contains("."), F.regexp_extract_all(x, F.lit(_u(PRICE)), 1)).alias("prices"))
+    def lowered(s):
+        return F.struct(s["pos"].alias("pos"), s["line"].alias("line"), F.lower(s["line"]).alias("low"), s["prices"].alias("prices"))
+    return F.transform(F.filter(F.transform(lines, prices_of), lambda s: F.coalesce(F.size(s["prices"]) >= 1, F.lit(False))), lowered)
+
+
+def _last_price(priced: Column, wanted) -> Column:
+    """The rightmost price of the last line that is ``wanted`` by its lower-case text; else 0."""
+    last = F.try_element_at(F.filter(priced, lambda s: wanted(s["low"])), F.lit(-1))
+    return F.coalesce(to_double(F.try_element_at(last["prices"], F.lit(-1))), F.lit(0.0))
 
 
 def total_amount(lines: Column) -> Column:
     """Last line with a total keyword and a price → its rightmost price; else 0."""
-    low = F.transform(lines, F.lower)
-    hits = F.filter(F.transform(low, lambda x: F.when(_any(x, TOTAL_KEYWORDS), _last_price(x))),
-                    lambda v: v.isNotNull())
-    return F.coalesce(F.try_element_at(hits, F.lit(-1)), F.lit(0.0))
+    return total_amount_of(priced_lines(lines))
+
+
+def total_amount_of(priced: Column) -> Column:
+    return _last_price(priced, lambda low: _any(low, TOTAL_KEYWORDS))
 
 
 def tax_amount(lines: Column) -> Column:
     """Last line with a tax keyword, no ``total``, and a price; else 0."""
-    low = F.transform(lines, F.lower)
-    hits = F.filter(F.transform(low, lambda x: F.when(_any(x, TAX_KEYWORDS) & ~x.contains("total"), _last_price(x))),
-                    lambda v: v.isNotNull())
-    return F.coalesce(F.try_element_at(hits, F.lit(-1)), F.lit(0.0))
+    return tax_amount_of(priced_lines(lines))
 
 
-def is_ignored(line: Column) -> Column:
-    """Ignore patterns (search), ignore keywords (substring), or mostly numbers."""
-    low = F.lower(line)
-    return (low.rlike(_u("|".join(f"(?:{p})" for p in IGNORE_PATTERNS))) | _any(low, IGNORE_KEYWORDS)
-            | low.rlike(_u(r"^[\d\s\-\.]+$")))
+def tax_amount_of(priced: Column) -> Column:
+    return _last_price(priced, lambda low: _any(low, TAX_KEYWORDS) & ~low.contains("total"))
+
+
+def is_ignored(low: Column) -> Column:
+    """R9, of a line in lower case: ignore keywords (substring), mostly numbers, or ignore patterns (search)."""
+    return (_any(low, IGNORE_KEYWORDS) | low.rlike(_u(r"^[\d\s\-\.]+$"))
+            | low.rlike(_u("|".join(f"(?:{p})" for p in IGNORE_RARE))))
 
 
 def item_category(name: Column) -> Column:
     """First category whose keyword occurs in the name; else ``Other``."""
-    low = F.lower(name)
+    return F.when(name.isNull() | (name == ""), "Other").otherwise(_category_of(F.lower(name)))
+
+
+def _category_of(low: Column) -> Column:
     expr = None
     for cat, words in ITEM_CATEGORIES:
         expr = F.when(_any(low, words), cat) if expr is None else expr.when(_any(low, words), cat)
-    return F.when(name.isNull() | (name == ""), "Other").otherwise(expr.otherwise("Other"))
+    return expr.otherwise("Other")
 
 
 def _remove_prices(line: Column, prices: Column) -> Column:
     def drop(acc, p):
         quoted = F.concat(F.lit(r"\Q"), p, F.lit(r"\E"))
         acc = F.regexp_replace(acc, F.concat(F.lit(r"(?U)\b"), quoted, F.lit(r"\b")), F.lit(""))
-        return F.regexp_replace(acc, F.concat(F.lit(r"\$"), quoted), F.lit(""))
+        return F.replace(acc, F.concat(F.lit("$"), p), F.lit(""))
     return F.aggregate(prices, line, drop)
 
 
 def items(lines: Column) -> Column:
-    """Accepted items in line order.
+    """Accepted items in line order."""
+    return items_of(priced_lines(lines))
+
+
+def items_of(priced: Column) -> Column:
+    """R9–R13 from the lines with a price.
 
-    Staged ``transform``s: every intermediate (prices, cleaned name, quantity match) is a
-    struct field computed once per line, since lambdas get no common-subexpression reuse.
+    Staged ``transform``s: every intermediate (cleaned name, its lower case, quantity match) is a
+    struct field computed once per line, since lambdas get no common-subexpression reuse. Names hold
+    no white space but spaces once they are collapsed, so a trim of spaces strips them.
     """
-    def prices_of(x, i):
-        return F.struct(i.alias("pos"), x.alias("line"),
-                        F.regexp_extract_all(x, F.lit(_u(PRICE)), 1).alias("prices"))
-    cands = F.filter(F.transform(lines, prices_of),
-                     lambda s: (F.length(s["line"]) >= 3) & (F.size(s["prices"]) >= 1) & (F.size(s["prices"]) <= 3)
-                     & ~is_ignored(s["line"]))
+    cands = F.filter(priced, lambda s: (F.length(s["line"]) >= 3) & (F.size(s["prices"]) <= 3) & ~is_ignored(s["low"]))
 
     def named(s):
-        name0 = strip(F.regexp_replace(collapse(_remove_prices(s["line"], s["prices"])), _u(r"[^\w\s\-]"), " "))
+        name0 = F.trim(F.regexp_replace(collapse(_remove_prices(s["line"], s["prices"])), _u(r"[^\w\s\-]"), " "))
         return F.struct(s["pos"].alias("pos"), s["prices"].alias("prices"), name0.alias("name0"))
     stage = F.filter(F.transform(cands, named), lambda s: F.length(s["name0"]) >= 2)
 
+    def lowered(s):
+        return F.struct(s["pos"].alias("pos"), s["prices"].alias("prices"), s["name0"].alias("name0"), F.lower(s["name0"]).alias("low"))
+    stage = F.transform(stage, lowered)
+
     def qty_groups(s):
-        low = F.lower(s["name0"])
         return F.struct(s["pos"].alias("pos"), s["prices"].alias("prices"), s["name0"].alias("name0"),
-                        *[F.regexp_extract(low, _u(p), 1).alias(f"g{i}") for i, p in enumerate(QTY_PATTERNS)])
+                        *[F.regexp_extract(s["low"], _u(p), 1).alias(f"g{i}") for i, p in enumerate(QTY_PATTERNS)])
     stage = F.transform(stage, qty_groups)
 
     def resolved(s):
         qty_text, name = None, None
         for i, p in enumerate(QTY_PATTERNS):
             hit = s[f"g{i}"] != ""
-            removed = strip(F.regexp_replace(s["name0"], "(?iU)" + p, ""))
+            removed = F.trim(F.regexp_replace(s["name0"], "(?iU)" + p, ""))
             qty_text = F.when(hit, s[f"g{i}"]) if qty_text is None else qty_text.when(hit, s[f"g{i}"])
             name = F.when(hit, removed) if name is None else name.when(hit, removed)
         return F.struct(s["pos"].alias("pos"),
                         to_double(F.try_element_at(s["prices"], F.lit(-1))).alias("total"),
                         F.coalesce(to_double(qty_text), F.lit(1.0)).alias("qty"),
                         name.otherwise(s["name0"]).alias("name"))
-    stage = F.transform(stage, resolved)
+    stage = F.filter(F.transform(stage, resolved), lambda s: s["qty"] > 0)
+
+    def cut(s):
+        return F.struct(s["pos"].alias("pos"), s["total"].alias("total"), s["qty"].alias("qty"),
+                        F.substring(s["name"], 1, 255).alias("item_name"), F.lower(s["name"]).alias("low"))
+    stage = F.filter(F.transform(stage, cut), lambda s: (s["total"] <= MAX_ITEM_PRICE)                   # R12
+                     & (F.length(F.trim(s["item_name"])) >= 3)                                           # and the record constraint
+                     & ~s["item_name"].rlike(_u(r"^[\d\s\-\.\$]+$")))
 
     def finished(s):
-        final_name = F.substring(s["name"], 1, 255)
         return F.struct(
-            (s["pos"] + 1).alias("line_no"), final_name.alias("item_name"), s["qty"].alias("quantity"),
-            F.when(s["qty"] > 0, s["total"] / s["qty"]).otherwise(s["total"]).alias("unit_price"),
-            s["total"].alias("total_price"), item_category(s["name"]).alias("category"))
-    done = F.transform(F.filter(stage, lambda s: s["qty"] > 0), finished)
-    return F.filter(done, lambda it: (F.length(it["item_name"]) >= 1)                 # record constraint
-                    & (it["total_price"] <= MAX_ITEM_PRICE)                            # R12
-                    & (F.length(strip(it["item_name"])) >= 3)
-                    & ~it["item_name"].rlike(_u(r"^[\d\s\-\.\$]+$")))
+            (s["pos"] + 1).alias("line_no"), s["item_name"].alias("item_name"), s["qty"].alias("quantity"),
+            (s["total"] / s["qty"]).alias("unit_price"), s["total"].alias("total_price"), _category_of(s["low"]).alias("category"))
+    return F.transform(stage, finished)

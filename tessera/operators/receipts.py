@@ -40,18 +40,18 @@ def parse(texts: DataFrame, as_of: str, id_col: str = "doc_id", text_col: str =
         texts = texts.repartition(partitions)
     # staged projections: each shared intermediate is one column, computed once per row
     # (the optimizer keeps a projection apart rather than inline an expensive expression twice)
-    lined = texts.select(id_col, text_col, RT.clean_lines(F.col(text_col)).alias("_lines"))
-    lined = lined.withColumn("_store", RT.store_flags(F.col("_lines")))
-    lines = F.col("_lines")
+    clean = texts.select(id_col, text_col, RT.ocr_fix(RT.collapsed_text(F.col(text_col))).alias("_clean"))
+    lined = clean.withColumn("_lines", RT.lines_of(F.col("_clean")))
+    lined = lined.withColumns({"_store": RT.store_flags(F.col("_lines")), "_priced": RT.priced_lines(F.col("_lines"))})
     return lined.select(
         F.col(id_col).alias("receipt_id"),
         RT.store_name_of(F.col("_store")).alias("store_name"),
         RT.store_address_of(F.col("_store")).alias("store_address"),
-        RT.receipt_date(lines, as_of).alias("receipt_date"),
-        RT.total_amount(lines).alias("total_amount"),
-        RT.tax_amount(lines).alias("tax_amount"),
+        RT.receipt_date_of(F.col("_clean"), as_of).alias("receipt_date"),
+        RT.total_amount_of(F.col("_priced")).alias("total_amount"),
+        RT.tax_amount_of(F.col("_priced")).alias("tax_amount"),
         F.lit(0.0).alias("discount_amount"),
-        RT.items(lines).alias("items"),
+        RT.items_of(F.col("_priced")).alias("items"),
         F.col(text_col).alias("raw_text"),
     )
 
