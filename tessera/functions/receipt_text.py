@@ -223,18 +223,18 @@ def receipt_date_of(text: Column, as_of: str) -> Column:
 
 
 def priced_lines(lines: Column) -> Column:
-    """The lines with a price: position, text, lower-case text and all prices. What amounts and items are read from."""
+    """The lines with a price: position, text, lower-case text, all prices and the last one's value. What amounts and items are read from."""
     def prices_of(x, i):
         return F.struct(i.alias("pos"), x.alias("line"), F.when(x.contains("."), F.regexp_extract_all(x, F.lit(_u(PRICE)), 1)).alias("prices"))
     def lowered(s):
-        return F.struct(s["pos"].alias("pos"), s["line"].alias("line"), F.lower(s["line"]).alias("low"), s["prices"].alias("prices"))
+        return F.struct(s["pos"].alias("pos"), s["line"].alias("line"), F.lower(s["line"]).alias("low"), s["prices"].alias("prices"),
+                        to_double(F.element_at(s["prices"], -1)).alias("last"))
     return F.transform(F.filter(F.transform(lines, prices_of), lambda s: F.coalesce(F.size(s["prices"]) >= 1, F.lit(False))), lowered)
 
 
 def _last_price(priced: Column, wanted) -> Column:
     """The rightmost price of the last line that is ``wanted`` by its lower-case text; else 0."""
-    last = F.try_element_at(F.filter(priced, lambda s: wanted(s["low"])), F.lit(-1))
-    return F.coalesce(to_double(F.try_element_at(last["prices"], F.lit(-1))), F.lit(0.0))
+    return F.coalesce(F.try_element_at(F.filter(priced, lambda s: wanted(s["low"])), F.lit(-1))["last"], F.lit(0.0))
 
 
 def total_amount(lines: Column) -> Column:
