@@ -11,6 +11,9 @@ import json
 import os
 import re
 from array import array
+from codecs import charmap_decode
+from collections.abc import Callable
+from operator import attrgetter
 from pathlib import Path
 
 import numpy as np
@@ -50,7 +53,35 @@ def _byte_chars() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(rest)}
 
 
-_BYTE_CHARS = _byte_chars()
+_BYTE_TABLE = "".join(chr(_byte_chars().get(b, b)) for b in range(256))
+_token_id = attrgetter("id")
+
+
+class Pieces(dict):
+    """Pre-token to its ids (bytes), encoded where it is missing; at most ``entries`` are held.
+
+    When the young half is full, it becomes the old half and the former old half goes. What is asked for
+    again comes back from the old half, so frequent pre-tokens stay. Long ones are held beside them (``long``),
+    to be cleared after each text.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], entries: int):
+        super().__init__()
+        self.encode, self.half, self.old, self.long = encode, entries // 2, {}, {}
+
+    def __missing__(self, pretoken: str) -> bytes:
+        short = len(pretoken) <= MAX_CACHED_LENGTH
+        ids = (self.old if short else self.long).get(pretoken)
+        if ids is None:
+            ids = self.encode(pretoken)
+        if not short:
+            self.long[pretoken] = ids
+        elif self.half:
+            if len(self) >= self.half:
+                self.old = dict(self)
+                self.clear()
+            self[pretoken] = ids
+        return ids
 
 
 class ByteBpe:
@@ -73,8 +104,8 @@ class ByteBpe:
         self.frequent = frequent or {}
         self.cache_entries = cache_entries
         self.counts: dict[str, int] = {}
-        self.pieces: dict[str, bytes] = {}
         self.model = self.tok.model
+        self.pieces = Pieces(self._encode, cache_entries)
 
     def _whole(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
@@ -109,7 +140,7 @@ class ByteBpe:
         new = [p for p in set(miss) if p not in counts]
         long = {}
         for p in new:
-            (counts if len(p) <= MAX_CACHED_LENGTH else long)[p] = len(self._encode(p))
+            (counts if len(p) <= MAX_CACHED_LENGTH else long)[p] = len(self._tokens(p))
         return sum(counts[p] if p in counts else long[p] for p in miss)
 
     def ids(self, text: str) -> bytes:
@@ -117,27 +148,21 @@ class ByteBpe:
         if not self.plain or _disputed(text):
             return np.asarray(self._whole(text), "<u4").tobytes()
         out = []
+        piece = self.pieces.__getitem__
         for special, part in self._parts(text):
             if special:
                 out.append(self.special[part].to_bytes(4, "little"))
             else:
-                out.append(self._lookup(split_pretokens(part)))
+                out.extend(map(piece, split_pretokens(part)))
+        self.pieces.long.clear()
         return b"".join(out)
 
-    def _encode(self, pretoken: str) -> list[int]:
-        """One pre-token's ids from the library's merge model, which takes bytes written as characters."""
-        return [t.id for t in self.model.tokenize(pretoken.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS))]
-
-    def _lookup(self, parts: list[str]) -> bytes:
-        known = self.pieces
-        if len(known) > self.cache_entries:
-            known.clear()
-        found = list(map(known.get, parts))
-        if None not in found:
-            return b"".join(found)
-        fresh = {k: array("I", self._encode(k)).tobytes() for k in {k for k, v in zip(parts, found) if v is None}}
-        known.update((k, v) for k, v in fresh.items() if len(k) <= MAX_CACHED_LENGTH)
-        return b"".join(v if v is not None else fresh[k] for k, v in zip(parts, found))
+    def _tokens(self, pretoken: str) -> list:
+        """One pre-token's tokens from the library's merge model, which takes bytes written as characters."""
+        return self.model.tokenize(charmap_decode(pretoken.encode("utf-8"), "strict", _BYTE_TABLE)[0])
+
+    def _encode(self, pretoken: str) -> bytes:
+        return array("I", map(_token_id, self._tokens(pretoken))).tobytes()
 
 
 _ENCODERS: dict[str, ByteBpe] = {}

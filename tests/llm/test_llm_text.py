@@ -66,6 +66,19 @@ def test_ids_of_random_texts():
         assert bpe.count(t) == len(ids(t)), repr(t)
 
 
+@pytest.mark.parametrize("entries", [0, 1, 64])
+def test_lookup_stays_small_and_keeps_frequent_pretokens(entries):
+    bpe = pretokens.ByteBpe(pretokens.tokenizer_spec(JSON), cache_entries=entries)
+    pieces, encoded = bpe.pieces, []
+    pieces.encode = lambda p: encoded.append(p) or bpe._encode(p)
+    for k in range(20):
+        text = " ".join(f"the {'q' * (i % 7)}x{k}y{i} of été 日" for i in range(40)) + (" 1" + "z" * 100) * 5
+        assert np.frombuffer(bpe.ids(text), "<u4").tolist() == ids(text)
+        assert len(pieces) + len(pieces.old) <= entries and not pieces.long
+        assert encoded.count("z" * 100) == k + 1
+    assert entries < 64 or all(encoded.count(p) == 1 for p in (" the", " of", " été", " 日"))
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 40, 300])
 def test_differencing_packs_every_token_once(n):
     r = np.random.default_rng(n)
