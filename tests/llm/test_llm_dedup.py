@@ -181,3 +181,44 @@ def test_vectors_equal_brute_force(spark, tile):
     df = spark.createDataFrame([(i, v, 0, 1) for i, v in rows], "vec_id long, embedding array<double>, node int, weight int")
     assert rows_of(embeddings.near_vectors(df, tile_rows=tile)) == sorted(exp, key=str)
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+def links_by_force(ids, x, least=0.95):
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = np.argwhere(np.triu(unit @ unit.T >= least, 1))
+    n = np.bincount(linked.ravel(), minlength=len(ids))
+    low = smallest_reachable(ids, {tuple(p) for p in linked.tolist()})
+    return sorted(zip(ids, n.tolist(), low, [a == b for a, b in zip(ids, low)]), key=str)
+
+
+def test_vector_blocks_meet_without_a_shuffle(spark, monkeypatch):
+    plans, plain = {}, embeddings.written
+
+    def kept(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, purpose)
+
+    monkeypatch.setattr(embeddings, "written", kept)
+    r = np.random.default_rng(3)
+    x = r.standard_normal((900, 24)).astype(np.float32)
+    x[100:400] = x[5] + 0.1 * r.standard_normal((300, 24))  # a group with links in every block
+    x[600:700] = x[600]  # copies, in more than one batch
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(5)
+    got = rows_of(embeddings.near_vectors(df, tile_rows=64, levels=(4, 8)))
+    assert got == links_by_force(list(range(900)), x.astype(float))
+    assert "Exchange" not in plans["vector-links"]  # else a copy of each tile goes out for every tile within reach
+
+
+def test_vector_blocks_are_bounded_under_ties(spark, monkeypatch):
+    tables, plain = {}, embeddings.written
+
+    def kept(df, purpose):
+        tables[purpose] = plain(df, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(embeddings, "written", kept)
+    r = np.random.default_rng(4)
+    x = np.vstack([r.standard_normal(8) * 2.0 ** np.arange(-150, 150)[:, None], r.standard_normal((100, 8))])  # 300 of one direction
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert rows_of(embeddings.near_vectors(df, tile_rows=16)) == links_by_force(list(range(400)), x)
+    assert max(len(b.nodes) // 8 for b in tables["blocks"].collect()) <= 64
